@@ -1,5 +1,7 @@
 """DuckDB SQL with the rows of those ``opN_*`` queries that SQL can express."""
 
+from . import chat_format
+
 ORACLES: dict[str, str] = {
     "op2_url_filter": r"""
 WITH p AS (
@@ -19,4 +21,33 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """,
+    "op7_block_search": """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+r AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op9_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, x.i, x.r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(i, r)),
+e AS (
+  SELECT *, lag(role) OVER w IS DISTINCT FROM role AS opens,
+    length(regexp_replace(role, '@CONTROL@', '\1\\\2', 'g')) AS role_chars,
+    length(regexp_replace(text, '@CONTROL@', '\1\\\2', 'g')) AS text_chars
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(text_chars + CASE WHEN opens THEN role_chars + length('<|start|><|text|><|end|>') ELSE length('<|next|>') END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""".replace("@CONTROL@", rf"([<\[])(\\*(?:{chat_format._RESTS}))"),
 }
