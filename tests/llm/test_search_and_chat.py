@@ -42,7 +42,7 @@ def test_search_edge_cases(spark):
     rows += [(i, rows[7][1]) for i in range(230, 290)]  # ties
     rows += [(300, rows[3][1]), (301, rows[3][1]), (301, rows[3][1]), (301, rows[4][1]), (300, rows[3][1])]  # repeated ids
     rows += [(320, None), (321, []), (322, [0.0] * 6), (323, [None] + [1.0] * 5), (324, [math.nan] * 6), (325, [math.inf] * 6), (None, [1.0] * 6)]
-    rows += [(340, [1.0, 2.0]), (341, [2.0, 1.0]), (342, [3.4e38, 1e-30]), (343, [1e-30, 1e-38])]  # another length
+    rows += [(340, [1.0, 2.0]), (341, [2.0, 1.0]), (342, [2.0**100, 2.0**-99]), (343, [2.0**-99, 2.0**-120])]  # another length
     frame = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], "vec_id long, embedding array<float>, rank int, dim string")
     got = block_search.search(frame.where("vec_id % 20 = 0"), frame, 20, query_block=4, candidate_block=37)
     assert {tuple(r) for r in got.collect()} == plain_search([(i, v) for i, v in rows], 20)
