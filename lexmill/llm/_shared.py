@@ -61,8 +61,19 @@ def fold_of(column: str, parts: int):
 def hashed_sample(frame: DataFrame, key: str, most: int, seed: int) -> list:
     """At most ``most`` distinct non-null ids of ``frame``, those of the smallest hash: the same ids on every run.
 
-    Only ids reach the driver, and no more than ``most`` of them.
+    A filter on the hash keeps about twice as many before anything is shuffled or ordered; only the ids, and no more
+    than ``most`` of them, reach the driver.
     """
-    ids = frame.where(F.col(key).isNotNull()).select(key).distinct()
-    ranked = ids.select(key, F.xxhash64(F.lit(seed), F.col(key)).alias("_h")).orderBy("_h", key).limit(most)
-    return [row[0] for row in ranked.collect()]
+    ids = frame.where(F.col(key).isNotNull()).select(key)
+    rows = ids.count()
+    ids = ids.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    if rows > 4 * most:
+        ids = ids.where(F.col("_h") < F.lit(int(-(2**63) + 2**64 * (2.0 * most / rows))))
+    return [row[0] for row in ids.groupBy(key).agg(F.min("_h").alias("_h")).orderBy("_h", key).limit(most).collect()]
+
+
+def texts_of(documents: DataFrame, ids: list, id_column: str, text_column: str) -> DataFrame:
+    """(id, text) of the documents with one of the listed ids, whose number the caller has bounded."""
+    kind = documents.schema[id_column].dataType.simpleString()
+    wanted = documents.sparkSession.createDataFrame([(i,) for i in ids], f"`{id_column}` {kind}")
+    return documents.select(id_column, text_column).join(F.broadcast(wanted), id_column, "left_semi")

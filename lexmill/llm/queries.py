@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, block_search, chat_format, html_extraction, url_filter
-from ._shared import table
+from . import best_fit_packing, block_search, chat_format, crf_language, html_extraction, pu_quality, url_filter
+from ._shared import fold_of, table
 
 URL_RULES = [
     url_filter.Rule("allow", "com", "/"),
@@ -26,6 +26,22 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def held_out(parts: int, fold: int):
+    """Whether the row's fold is the one that nothing is learned from; false for a null id."""
+    return F.coalesce(fold_of("doc_id", parts) == fold, F.lit(False))
+
+
+def language_model(spark: SparkSession, sf_dir: str):
+    documents = table(spark, sf_dir, "documents")
+    return crf_language.train(documents.where(fold_of("doc_id", 4) != 2))
+
+
+def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_model(spark, sf_dir)
+    out = crf_language.identify(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return out.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -61,7 +77,20 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_model(spark: SparkSession, sf_dir: str):
+    """Trusted positives are the labelled ones, the unlabelled are all documents; neither from the held-out fold."""
+    documents = table(spark, sf_dir, "documents").where(fold_of("doc_id", 5) != 0)
+    positives = table(spark, sf_dir, "labels").where((fold_of("doc_id", 5) != 0) & (F.col("quality") == 1))
+    return pu_quality.train(documents, positives, documents)
+
+
+def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality_model(spark, sf_dir)
+    out = pu_quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return out.select("doc_id", held_out(5, 0).alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_kept").cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_url_filter, op4_html_extraction, op7_block_search, op8_best_fit_packing, op9_chat_format)
+    for f in (op1_crf_language, op2_url_filter, op4_html_extraction, op7_block_search, op8_best_fit_packing, op9_chat_format, op10_pu_quality)
 }
