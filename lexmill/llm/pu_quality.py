@@ -123,11 +123,15 @@ class QualityModel:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least_tail: float = 0.5) -> float:
-    """Smallest ratio of the unlabelled share to the positive share of any upper tail with enough positives."""
+    """Smallest ratio of the unlabelled share to the positive share of any upper tail with enough positives.
+
+    A standard error is added to each ratio, as the smallest of many noisy ratios lies too low.
+    """
     cuts = np.quantile(positive, np.linspace(0, 1 - least_tail, 200))
     p = np.array([(positive >= c).mean() for c in cuts])
     u = np.array([(unlabelled >= c).mean() for c in cuts])
-    return float(np.clip((u / p).min(), 0.02, 0.98))
+    error = np.sqrt(u * (1 - u) / len(unlabelled)) / p + u / p**2 * np.sqrt(p * (1 - p) / len(positive))
+    return float(np.clip((u / p + error).min(), 0.02, 0.98))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, steps: int = 600, rate: float = 0.05, decay: float = 2e-4) -> QualityModel | None:

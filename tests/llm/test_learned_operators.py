@@ -98,7 +98,7 @@ def test_non_negative_risk_separates_a_mixture():
     rng = np.random.default_rng(0)
     good = lambda n: rng.normal(1, 1, (n, 3))
     bad = lambda n: rng.normal(-2, 1, (n, 3))
-    model = pu_quality.fit(good(1000), np.vstack((good(1400), bad(600))))
+    model = pu_quality.fit(good(1000), np.vstack((good(1400), bad(600))), prior=0.7)
     assert (model.score(good(500)) >= 0.5).mean() > 0.95 and (model.score(bad(500)) < 0.5).mean() > 0.95
 
 
