@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, block_search, chat_format, crf_language, html_extraction, pu_quality, url_filter
+from . import best_fit_packing, block_search, chat_format, crf_language, html_extraction, pu_quality, toxic_grammar, url_filter
 from ._shared import fold_of, table
 
 URL_RULES = [
@@ -50,6 +50,16 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def toxic_model(spark: SparkSession, sf_dir: str):
+    labels = table(spark, sf_dir, "labels").where(fold_of("doc_id", 4) != 2)
+    return toxic_grammar.train(table(spark, sf_dir, "documents"), labels)
+
+
+def op6_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxic_grammar.score(table(spark, sf_dir, "documents").select("doc_id", "text"), toxic_model(spark, sf_dir))
+    return out.select("doc_id", held_out(4, 2).alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_flag").cast("int").alias("predicted"))
+
+
 def op7_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return block_search.search(vectors.where("vec_id % 20 = 0"), vectors)
@@ -92,5 +102,5 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_crf_language, op2_url_filter, op4_html_extraction, op7_block_search, op8_best_fit_packing, op9_chat_format, op10_pu_quality)
+    for f in (op1_crf_language, op2_url_filter, op4_html_extraction, op6_toxic_grammar, op7_block_search, op8_best_fit_packing, op9_chat_format, op10_pu_quality)
 }
