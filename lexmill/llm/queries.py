@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, block_search, chat_format, crf_language, html_extraction, pu_quality, toxic_grammar, url_filter
+from . import best_fit_packing, block_search, chat_format, crf_language, html_extraction, hyperminhash, pu_quality, toxic_grammar, url_filter
 from ._shared import fold_of, table
 
 URL_RULES = [
@@ -46,6 +46,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
@@ -102,5 +106,5 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_crf_language, op2_url_filter, op4_html_extraction, op6_toxic_grammar, op7_block_search, op8_best_fit_packing, op9_chat_format, op10_pu_quality)
+    for f in (op1_crf_language, op2_url_filter, op3_hyperminhash, op4_html_extraction, op6_toxic_grammar, op7_block_search, op8_best_fit_packing, op9_chat_format, op10_pu_quality)
 }
