@@ -119,7 +119,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         if state == before:
             break
         before = state
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    roots = edges.select(F.col("v").alias("u"), "v").distinct()
+    return edges.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 def _among(rows: DataFrame, column: str, ids: DataFrame, most_broadcast: int) -> DataFrame:
@@ -195,7 +196,7 @@ def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, ro
     more = scratch.keep(_verified(scratch.keep(_likely(cross, reps, share)), documents, threshold, size, id_column, text_column, most_broadcast))
     if more.take(1):
         joined = links.select("a", "b").unionByName(more)
-        old, found = found, components(joined, scratch)
+        found = components(joined, scratch)
 
     placed = classes.join(found, classes["rep"] == found["node"], "left").select("set_hash", F.coalesce("component", "rep").alias("c"))
     out = sketches.select("doc_id", "n_shingles", "set_hash").join(placed, "set_hash", "left")
