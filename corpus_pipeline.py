@@ -1,3 +1,73 @@
-STAGES = []
+"""From raw documents to packed sequences: quality, language, near-duplicates, benchmark leaks, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in the shared folder and
+reads it again as the next stage's docs. All stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexmill.llm import best_fit_packing, crf_language, hyperminhash, pu_quality, queries, simhash_decontamination
+from lexmill.llm._shared import Scratch, fold_of, table
+
+#: A document goes if less than this share of its words' posterior mass is of one language.
+LEAST_LANGUAGE = 0.4
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learned from the training fold of the labels, doesn't reject."""
+    known = docs.where(fold_of("doc_id", 5) != 0)
+    positives = table(spark, sf_dir, "labels").where((fold_of("doc_id", 5) != 0) & (F.col("quality") == 1))
+    model = pu_quality.train(known, positives, known)
+    return pu_quality.score(docs, model).where("quality_kept").select(docs.columns)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one recognised language."""
+    model = crf_language.train(docs.where(fold_of("doc_id", 4) != 2))
+    out = crf_language.identify(docs, model)
+    return out.where((F.col("lang_pred") != crf_language.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE)).select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, most_broadcast: int = 1_000_000) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest id; of wholly equal rows one stays."""
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").take(1):
+        docs = docs.dropDuplicates()
+    gone = hyperminhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = Scratch(spark).keep(gone)
+    side = F.broadcast(gone) if gone.count() <= most_broadcast else gone
+    return docs.join(side, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    out = simhash_decontamination.mark(docs, table(spark, sf_dir, "benchmark"))
+    return out.where(F.size("contamination") == 0).select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in the training sequences."""
+    return best_fit_packing.pack(docs, queries.vocabulary_path())
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("language ID", language_stage),
+    ("MinHash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("best-fit packing", packing_stage),
+]
+
+#: SQL can't express the learned stages or the tokenizer; the tests hold each stage against a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    for _, stage in STAGES:
+        before, docs = docs, scratch.keep(stage(spark, docs, sf_dir))
+        if hasattr(before, "_lexmill_path"):
+            scratch.drop(before)
+    return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, block_search, chat_format, crf_language, html_extraction, hyperminhash, pu_quality, toxic_grammar, url_filter
+from . import best_fit_packing, block_search, chat_format, crf_language, html_extraction, hyperminhash, pu_quality, simhash_decontamination, toxic_grammar, url_filter
 from ._shared import fold_of, table
 
 URL_RULES = [
@@ -54,6 +54,12 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item found in it."""
+    marked = simhash_decontamination.mark(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("contamination").alias("c")).select("doc_id", F.col("c.item").alias("item_id"), F.col("c.start").alias("first_word"), F.col("c.words").alias("n_words"), F.col("c.similarity").alias("similarity"))
+
+
 def toxic_model(spark: SparkSession, sf_dir: str):
     labels = table(spark, sf_dir, "labels").where(fold_of("doc_id", 4) != 2)
     return toxic_grammar.train(table(spark, sf_dir, "documents"), labels)
@@ -106,5 +112,5 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_crf_language, op2_url_filter, op3_hyperminhash, op4_html_extraction, op6_toxic_grammar, op7_block_search, op8_best_fit_packing, op9_chat_format, op10_pu_quality)
+    for f in (op1_crf_language, op2_url_filter, op3_hyperminhash, op4_html_extraction, op5_simhash_decontamination, op6_toxic_grammar, op7_block_search, op8_best_fit_packing, op9_chat_format, op10_pu_quality)
 }
