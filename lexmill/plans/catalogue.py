@@ -1,4 +1,526 @@
-"""Registered queries and their SQL counterparts."""
+"""Registered queries over the test tables, each beside the SQL that gives the same rows."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import rules
+from ..functions import text as T
+from ..operators import evaluation, generate, graph, groundtruth, listing, model_output, quality, telemetry
+from ..streaming import rollups
+from . import derived
+from .derived import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# -- evaluation --------------------------------------------------------------------------------------------------------
+
+_STRICT = f"""WITH {derived.PREDICTIONS},
+keys AS (
+  SELECT doc_id, k, label, max(e) AS e, max(p) AS p FROM (
+    SELECT doc_id, k, label, 1 AS e, 0 AS p FROM gtk UNION ALL SELECT doc_id, k, label, 0, 1 FROM predk) GROUP BY ALL)"""
+_COUNTS = "count(*) FILTER (WHERE e = 1 AND p = 1) AS tp, count(*) FILTER (WHERE e = 0) AS fp, count(*) FILTER (WHERE p = 0) AS fn"
+_RATES = """SELECT *, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM (
+  SELECT *, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS precision, CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall FROM c)"""
+
+
+@query(f"{_STRICT} SELECT doc_id, {_COUNTS} FROM keys GROUP BY doc_id")
+def strict_confusion(spark, sf_dir):
+    return evaluation.confusion(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir))
+
+
+@query(f"{_STRICT}, c AS (SELECT doc_id, {_COUNTS} FROM keys GROUP BY doc_id) {_RATES}")
+def strict_prf(spark, sf_dir):
+    return evaluation.with_rates(strict_confusion(spark, sf_dir))
+
+
+@query(f"{_STRICT}, c AS (SELECT label, {_COUNTS} FROM keys GROUP BY label) {_RATES}")
+def strict_by_label(spark, sf_dir):
+    return evaluation.with_rates(evaluation.confusion(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir), ["label"]))
+
+
+@query(f"WITH {derived.PREDICTIONS} SELECT doc_id, label, k, count(*) AS n FROM gtk WHERE EXISTS (SELECT 1 FROM predk p WHERE p.doc_id = gtk.doc_id AND p.k = gtk.k AND p.label = gtk.label) GROUP BY ALL")
+def strict_matches(spark, sf_dir):
+    return evaluation.strict_matches(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir)).groupBy("doc_id", "label", "k").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {derived.PREDICTIONS} SELECT doc_id, k, label FROM predk EXCEPT SELECT doc_id, k, label FROM gtk")
+def false_positives(spark, sf_dir):
+    return evaluation.strict_misses(derived.predictions(spark, sf_dir), derived.groundtruth(spark, sf_dir))
+
+
+@query(f"WITH {derived.PREDICTIONS} SELECT doc_id, k, label FROM gtk EXCEPT SELECT doc_id, k, label FROM predk")
+def false_negatives(spark, sf_dir):
+    return evaluation.strict_misses(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir))
+
+
+@query(f"WITH {derived.PREDICTIONS} SELECT doc_id, label, k, arg_min(text, ord) AS text, min(ord) AS ord FROM predk GROUP BY doc_id, label, k")
+def prediction_first_wins(spark, sf_dir):
+    return evaluation.first_of_each(evaluation.keyed(derived.predictions(spark, sf_dir)), ["doc_id", "k", "label"]).select("doc_id", "label", "k", "text", "ord")
+
+
+_TOKENS = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}_£€$./-]+')"
+_SOFT = f"""WITH {derived.PREDICTIONS},
+pairs AS (
+  SELECT e.doc_id, e.label, e.ord AS e_ord, p.ord AS p_ord, e.text AS e_text, p.text AS p_text, {_TOKENS.format("e.k")} AS et, {_TOKENS.format("p.k")} AS pt
+  FROM gtk e JOIN predk p ON e.doc_id = p.doc_id AND e.label = p.label),
+scored AS (SELECT * EXCLUDE (et, pt), len(list_filter(et, lambda t: list_contains(pt, t))) / len(et) AS coverage FROM pairs),
+candidates AS (
+  SELECT * FROM scored
+  WHERE coverage >= CASE label WHEN 'ADDRESS' THEN 0.7 WHEN 'AMOUNT' THEN 1.0 WHEN 'CASE_REFERENCE' THEN 0.9 WHEN 'DATE' THEN 0.9 WHEN 'VAT' THEN 1.0 ELSE 0.8 END)"""
+
+
+@query(f"{_SOFT} SELECT * FROM candidates")
+def soft_candidates(spark, sf_dir):
+    return evaluation.soft_candidates(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir))
+
+
+@query()
+def soft_greedy_prf(spark, sf_dir):
+    return evaluation.with_rates(evaluation.soft_confusion(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir)))
+
+
+@query(f"""{_STRICT}, c AS (SELECT doc_id, {_COUNTS} FROM keys GROUP BY doc_id)
+SELECT *, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS mle,
+  CASE WHEN tp > 0 AND fp > 0 THEN tp / (tp + fp) WHEN tp = 0 AND fp > 0 THEN 0.0 WHEN fp = 0 AND tp > 0 THEN 1.0 ELSE 0.5 END AS map, (1 + tp) / (2 + tp + fp) AS mean FROM c""")
+def rate_posterior_closed_form(spark, sf_dir):
+    return evaluation.rate_posterior(strict_confusion(spark, sf_dir))
+
+
+@query()
+def posterior_intervals(spark, sf_dir):
+    return evaluation.posterior_intervals(evaluation.confusion(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir), ["label"]))
+
+
+@query(f"WITH {derived.PREDICTIONS} SELECT doc_id, ord, text, label, k FROM predk WHERE EXISTS (SELECT 1 FROM gtk WHERE gtk.doc_id = predk.doc_id AND gtk.k = predk.k AND should_propose = 'no')")
+def negative_control_hits(spark, sf_dir):
+    return evaluation.negative_control_hits(derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir)).select("doc_id", "ord", "text", "label", "k")
+
+
+_NORMAL = r"lower(trim(regexp_replace({}, '\s+', ' ', 'g')))"
+_HERE = f"contains({_NORMAL.format('d.text')}, gtk.k)"
+
+
+@query(f"WITH {derived.DOCUMENTS} SELECT gtk.doc_id, ord, label, gtk.text, {_HERE} AS present FROM gtk JOIN docs d USING (doc_id)")
+def surface_presence(spark, sf_dir):
+    gt = derived.groundtruth(spark, sf_dir).join(derived.documents(spark, sf_dir).withColumnRenamed("text", "d"), "doc_id")
+    return gt.select("doc_id", "ord", "label", "text", evaluation.surface_in_text(F.col("text"), F.col("d")).alias("present"))
+
+
+@query(f"WITH {derived.DOCUMENTS} SELECT gtk.doc_id, ord, label, gtk.text AS entity_text FROM gtk JOIN docs d USING (doc_id) WHERE {_HERE}")
+def rendered_filter(spark, sf_dir):
+    rows = derived.groundtruth(spark, sf_dir).select("doc_id", "ord", "label", F.col("text").alias("entity_text"))
+    return groundtruth.rendered_only(rows, derived.documents(spark, sf_dir))
+
+
+@query(rf"""WITH {derived.DOCUMENTS}, r AS (
+  SELECT gtk.doc_id, should_propose = 'yes' AS pos, coalesce({_HERE}, false) AS here, regexp_extract(coalesce(d.text, ''), '(?i)' || replace(regexp_escape(gtk.text), '\ ', '\s+')) = gtk.text AS same FROM gtk LEFT JOIN docs d USING (doc_id))
+SELECT doc_id, count(*) AS raw_rows, count(*) FILTER (WHERE pos) AS raw_positive_rows, count(*) FILTER (WHERE NOT pos) AS negative_control_rows,
+  count(*) FILTER (WHERE pos AND NOT here) AS absent_positive_rows, count(*) FILTER (WHERE pos AND here AND NOT same) AS surface_normalizations FROM r GROUP BY doc_id""")
+def calibration_counters(spark, sf_dir):
+    return evaluation.calibration_counters(derived.groundtruth(spark, sf_dir), derived.documents(spark, sf_dir))
+
+
+@query(f"WITH {derived.DOCUMENTS} SELECT gtk.doc_id, ord, label, gtk.k AS k FROM gtk JOIN docs d USING (doc_id) WHERE should_propose = 'yes' AND {_HERE}")
+def calibrated_groundtruth(spark, sf_dir):
+    out = evaluation.calibrate(derived.groundtruth(spark, sf_dir), derived.documents(spark, sf_dir))
+    return out.select("doc_id", "ord", "label", T.normalize_surface(F.col("text")).alias("k"))
+
+
+# -- ground truth and facts --------------------------------------------------------------------------------------------
+
+_CASE = r"""
+persons AS (SELECT printf('en_case_%05d', c_custkey // 20) AS doc_id, c_custkey % 20 AS ord, replace(c_name, '#', ' Nr ') AS name, 'Dr ' || c_mktsegment AS title_surname, strftime(DATE '1950-01-01' + (c_custkey % 9000)::INTEGER, '%-d %B %Y') AS dob,
+    c_custkey || ' High Street, ' || c_mktsegment AS address, c_custkey % 2 = 0 AS is_defendant FROM customer),
+orgs AS (SELECT printf('en_case_%05d', s_suppkey // 20) AS doc_id, s_suppkey % 20 AS ord, CASE WHEN s_suppkey % 3 = 0 THEN 'charged' ELSE 'associated' END AS grp, upper(replace(s_name, '#', ' ')) || ' LTD' AS name, s_suppkey || ' Market Square, Leeds' AS address, 'GB' || lpad((s_suppkey * 7919 % 1000000000)::VARCHAR, 9, '0') AS vat FROM supplier),
+meta AS (SELECT printf('en_case_%05d', o_orderkey // 20) AS doc_id, 'CPS/2024/' || lpad((o_orderkey % 10000)::VARCHAR, 4, '0') AS case_number, 'C/2024/' || (o_orderkey % 977) AS cross_ref, strftime(o_orderdate, '%-d %B %Y') AS filing_date,
+    CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%-d %B %Y') END AS offence_start FROM orders WHERE o_orderkey % 20 = 0)"""
+
+
+def _case_tables(spark, sf_dir):
+    doc = lambda key: F.format_string("en_case_%05d", F.floor(F.col(key) / 20))
+    c, s, o = (table(spark, sf_dir, n) for n in ("customer", "supplier", "orders"))
+    day = lambda d: F.date_format(d, "d MMMM yyyy")
+    persons = c.select(doc("c_custkey").alias("doc_id"), (F.col("c_custkey") % 20).alias("ord"), F.replace(F.col("c_name"), F.lit("#"), F.lit(" Nr ")).alias("name"), F.lit(None).cast("string").alias("initials"), F.concat(F.lit("Dr "), "c_mktsegment").alias("title_surname"), day(F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 9000).cast("int"))).alias("dob"), F.concat(F.col("c_custkey").cast("string"), F.lit(" High Street, "), "c_mktsegment").alias("address"), (F.col("c_custkey") % 2 == 0).alias("is_defendant"))
+    orgs = s.select(doc("s_suppkey").alias("doc_id"), (F.col("s_suppkey") % 20).alias("ord"), F.when(F.col("s_suppkey") % 3 == 0, "charged").otherwise("associated").alias("grp"), F.concat(F.upper(F.replace(F.col("s_name"), F.lit("#"), F.lit(" "))), F.lit(" LTD")).alias("name"), F.concat(F.col("s_suppkey").cast("string"), F.lit(" Market Square, Leeds")).alias("address"), generate.vat_number(F.lit("GB"), F.col("s_suppkey") * 7919).alias("vat"))
+    key = F.col("o_orderkey")
+    meta = o.where(key % 20 == 0).select(doc("o_orderkey").alias("doc_id"), F.concat(F.lit("CPS/2024/"), F.lpad((key % 10000).cast("string"), 4, "0")).alias("case_number"), F.concat(F.lit("C/2024/"), (key % 977).cast("string")).alias("cross_ref"), day(F.col("o_orderdate")).alias("filing_date"), F.when(key % 3 == 0, day(F.col("o_orderdate"))).alias("offence_start"), F.lit(None).cast("string").alias("offence_end"))
+    counts = o.where(key % 20 < 3).select(doc("o_orderkey").alias("doc_id"), (key % 20).alias("ord"), F.concat(F.lit("took £"), F.format_number(F.floor("o_totalprice"), 0), F.lit(" and EUR 10,000 at "), "o_orderpriority").alias("particulars"))
+    amounts = o.where(key % 20 == 5).select(doc("o_orderkey").alias("doc_id"), (key % 20).alias("ord"), F.lit("EUR 10,000").alias("value"))
+    return persons, orgs, meta, counts, amounts
+
+
+@query(f"""WITH {_CASE},
+cnt AS (SELECT printf('en_case_%05d', o_orderkey // 20) AS doc_id, o_orderkey % 20 AS ord, '£' || format('{{:,}}', floor(o_totalprice)::BIGINT) AS v0, 'EUR 10,000' AS v1 FROM orders WHERE o_orderkey % 20 < 3),
+amt AS (
+  SELECT doc_id, ord * 1000 AS o, v0 AS v, 'count amount' AS notes FROM cnt UNION ALL SELECT doc_id, ord * 1000 + 1, v1, 'count amount' FROM cnt
+  UNION ALL SELECT printf('en_case_%05d', o_orderkey // 20), o_orderkey % 20 + 1000000, 'EUR 10,000', 'amount' FROM orders WHERE o_orderkey % 20 = 5),
+places AS (SELECT doc_id, address FROM persons WHERE is_defendant UNION ALL SELECT doc_id, address FROM orgs),
+rows_ AS (
+  SELECT doc_id, name AS entity_text, 'PERSON' AS label, CASE WHEN is_defendant THEN 'defendant' ELSE 'collateral' END AS notes FROM persons
+  UNION ALL SELECT doc_id, name, 'ORG', grp FROM orgs
+  UNION ALL SELECT doc_id, case_number, 'CASE_REFERENCE', 'case number' FROM meta UNION ALL SELECT doc_id, cross_ref, 'CASE_REFERENCE', 'cross reference' FROM meta
+  UNION ALL SELECT doc_id, filing_date, 'DATE', 'filing date' FROM meta UNION ALL SELECT doc_id, offence_start, 'DATE', 'offence period start' FROM meta WHERE offence_start IS NOT NULL
+  UNION ALL SELECT doc_id, dob, 'DATE', 'date of birth' FROM persons
+  UNION ALL SELECT doc_id, v, 'AMOUNT', arg_min(notes, o) FROM amt GROUP BY doc_id, v
+  UNION ALL SELECT doc_id, array_to_string(list_transform(string_split(name, ' '), lambda w: upper(left(w, 1))), '.') || '.', 'INITIAL', 'initials' FROM persons
+  UNION ALL SELECT doc_id, title_surname, 'TITLE', 'title and surname' FROM persons
+  UNION ALL SELECT doc_id, address, 'ADDRESS', 'full address' FROM places UNION ALL SELECT doc_id, split_part(address, ', ', 1), 'ADDRESS', 'street' FROM places UNION ALL SELECT doc_id, split_part(address, ', ', 2), 'ADDRESS', 'city and postcode' FROM places
+  UNION ALL SELECT doc_id, vat, 'VAT', 'vat' FROM orgs)
+SELECT *, 'yes' AS should_propose FROM rows_""")
+def groundtruth_union(spark, sf_dir):
+    return groundtruth.build(*_case_tables(spark, sf_dir)).select("doc_id", "entity_text", "label", "notes", "should_propose")
+
+
+@query(f"""WITH {_CASE}, f AS (
+  SELECT doc_id, 'person_form' AS kind, name AS value FROM persons UNION SELECT doc_id, 'titled', title_surname FROM persons
+  UNION SELECT doc_id, 'initials', rtrim(array_to_string(list_transform(string_split(name, ' '), lambda w: upper(left(w, 1))), '.'), '.') FROM persons
+  UNION SELECT doc_id, 'date', dob FROM persons UNION SELECT doc_id, 'org', name FROM orgs UNION SELECT doc_id, 'vat', vat FROM orgs
+  UNION SELECT doc_id, 'case_ref', case_number FROM meta UNION SELECT doc_id, 'case_ref', cross_ref FROM meta UNION SELECT doc_id, 'date', filing_date FROM meta UNION SELECT doc_id, 'date', offence_start FROM meta WHERE offence_start IS NOT NULL
+  UNION SELECT printf('en_case_%05d', o_orderkey // 20), 'amount', 'EUR 10,000' FROM orders WHERE o_orderkey % 20 = 5)
+SELECT kind, count(*) AS n, count(DISTINCT value) AS distinct_values FROM f GROUP BY kind""")
+def allowed_facts(spark, sf_dir):
+    persons, orgs, meta, _, amounts = _case_tables(spark, sf_dir)
+    return groundtruth.allowed_facts(persons, orgs, meta, amounts).groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("value").alias("distinct_values"))
+
+
+@query(f"""WITH {derived.DOCUMENTS},
+found AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '\\b\\d{{1,2}} (?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{{4}}\\b')) AS value FROM docs)
+SELECT doc_id, value FROM found EXCEPT SELECT doc_id, text FROM surf WHERE label = 'DATE' AND okey % 3 = 0""")
+def unknown_dates(spark, sf_dir):
+    facts = derived.surfaces(spark, sf_dir).where("label = 'DATE' and okey % 3 = 0").select("doc_id", F.lit("date").alias("kind"), F.col("text").alias("value"))
+    return groundtruth.unknown_values(derived.documents(spark, sf_dir), facts, "date", T.DATE)
+
+
+@query(f"WITH {derived.GROUNDTRUTH} SELECT doc_id, label, should_propose, count(*) AS n FROM gt GROUP BY ALL")
+def label_counts(spark, sf_dir):
+    return derived.groundtruth(spark, sf_dir).groupBy("doc_id", "label", "should_propose").agg(F.count("*").alias("n"))
+
+
+# -- graphs and memory -------------------------------------------------------------------------------------------------
+
+_WHEEL = "SELECT l.doc_id, l.name AS src, r.name AS dst, '{0}' AS type, {1} AS label FROM {2} l JOIN (SELECT doc_id, count(*) AS n FROM {3} GROUP BY doc_id) m USING (doc_id) JOIN {3} r ON r.doc_id = l.doc_id AND r.ord = l.ord % m.n"
+
+
+@query(f"""WITH {derived.PARTIES}
+{_WHEEL.format("controlled", "l.name || ' controlled ' || r.name", "defendants", "charged")}
+UNION ALL SELECT d.doc_id, d.name, c.name, 'instructed', d.name || ' instructed ' || c.name FROM defendants d JOIN collateral c ON d.doc_id = c.doc_id AND d.ord = 0
+UNION ALL SELECT a.doc_id, a.name, b.name, 'conspired_with', a.name || ' conspired with ' || b.name FROM defendants a JOIN defendants b ON a.doc_id = b.doc_id AND b.ord = a.ord + 1
+UNION ALL {_WHEEL.format("received_funds_from", "r.name || ' received funds from ' || l.name", "charged", "associated")}""")
+def graph_edges(spark, sf_dir):
+    return graph.edges(**derived.parties(spark, sf_dir))
+
+
+@query(f"WITH {derived.PARTIES} SELECT l.doc_id, l.name AS from_org, r.name AS to_org, (l.ord + 1) * 25000 AS amount FROM charged l JOIN (SELECT doc_id, count(*) AS n FROM associated GROUP BY doc_id) m USING (doc_id) JOIN associated r ON r.doc_id = l.doc_id AND r.ord = l.ord % m.n")
+def graph_transfers(spark, sf_dir):
+    p = derived.parties(spark, sf_dir)
+    return graph.transfers(p["charged"], p["associated"])
+
+
+@query(f"""WITH {derived.PARTIES}
+SELECT doc_id, 'p' || row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS id, name, 'person' AS type FROM defendants
+UNION ALL SELECT doc_id, 'o' || row_number() OVER (PARTITION BY doc_id ORDER BY ord), name, 'organisation' FROM charged""")
+def graph_nodes(spark, sf_dir):
+    p = derived.parties(spark, sf_dir)
+    return graph.nodes(p["defendants"], p["charged"])
+
+
+@query(f"""WITH {derived.SURFACES},
+b AS (SELECT doc_id, label, string_agg('- ' || text, chr(10) ORDER BY ord) AS body FROM surf WHERE label IN ('PERSON', 'ORG') GROUP BY doc_id, label)
+SELECT doc_id, string_agg('## ' || label || chr(10) || body, chr(10) || chr(10) ORDER BY CASE label WHEN 'PERSON' THEN 0 ELSE 1 END) || chr(10) || chr(10) || '## Strict Rules' || chr(10) || '- none' AS memory_text FROM b GROUP BY doc_id""")
+def memory_text(spark, sf_dir):
+    s = derived.surfaces(spark, sf_dir).where("label in ('PERSON', 'ORG')")
+    blocks = s.select("doc_id", F.when(F.col("label") == "PERSON", 0).otherwise(1).alias("block_ord"), F.col("label").alias("heading"), "ord", F.col("text").alias("line"))
+    empty = s.select("doc_id").distinct().select("doc_id", F.lit(2).alias("block_ord"), F.lit("Strict Rules").alias("heading"), F.lit(0).cast("bigint").alias("ord"), F.lit(None).cast("string").alias("line"))
+    return graph.memory_text(blocks.unionByName(empty))
+
+
+@query("SELECT conv_id::VARCHAR AS doc_id, string_agg(CASE role WHEN 'user' THEN 'Question' ELSE role END || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
+def rendered_documents(spark, sf_dir):
+    return graph.render_document(derived.sections(spark, sf_dir).withColumnRenamed("revision", "ord"), {"user": "Question"})
+
+
+# -- text and rules ----------------------------------------------------------------------------------------------------
+
+_WORDS = r"len(regexp_extract_all({}, '\S+'))"
+
+
+@query(f"SELECT doc_id, {_WORDS.format('text')} AS n_words, floor({_WORDS.format('text')} * 10 / 400.0) / 10 AS pages, {_WORDS.format('text')} < greatest(60, floor(100 * 0.7)) AS short FROM documents")
+def doc_word_stats(spark, sf_dir):
+    n = T.words(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", n.cast("bigint").alias("n_words"), (F.floor(n * 10 / 400.0) / 10).alias("pages"), (n < rules.minimum_words(F.lit(100))).alias("short"))
+
+
+@query(r"""WITH t AS (SELECT doc_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS x FROM documents)
+SELECT doc_id,
+  regexp_matches(x, '(?m)^\s*#{1,6}\s+') OR regexp_matches(x, '(?m)^\s*[-*]\s+') OR regexp_matches(x, '(?m)^\s*\d+\.\s+') OR regexp_matches(x, '(?m)^\s*[-*_]{3,}\s*$') OR regexp_matches(x, '\*\*') AS markdown,
+  regexp_matches(x, '\*{4,}') AS stars, contains(lower(x), '<think>') AS thinking,
+  length(x) > 120 AND regexp_matches(x, '(?i)(?:^|[^\p{L}\p{N}_])(?:and|or|to|of|with|through|including|by|for|from|in|on|at|between)\.?$') AS truncated
+FROM t""")
+def rule_flags(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = {"markdown": "markdown_formatting", "stars": "placeholder_markers", "thinking": "hidden_reasoning_markup", "truncated": "truncated_sentence"}
+    trimmed = F.btrim("text", F.lit(" \t\n\r"))
+    column = lambda name: F.col("_t")
+    return docs.withColumn("_t", trimmed).select("doc_id", *[(F.size(rules.RULES[r](column)) > 0).alias(n) for n, r in names.items()])
+
+
+_SENTENCES = r"string_split(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))"
+
+
+@query(f"""WITH s AS (SELECT doc_id, list_filter(list_transform({_SENTENCES}, lambda x: lower(trim(x))), lambda x: length(x) >= 80) AS long, {_SENTENCES} AS all_ FROM documents),
+f AS (SELECT doc_id, long, list_transform(list_filter(list_transform(all_, lambda x: regexp_extract_all(lower(x), '[A-Za-zÀ-ÖØ-öø-ÿ0-9'']+')), lambda t: len(t) >= 8), lambda t: array_to_string(t[1:10], ' ')) AS heads FROM s)
+SELECT doc_id, len(long) <> len(list_distinct(long)) AS sentences, len(heads) <> len(list_distinct(heads)) AS fragments FROM f""")
+def repeated_content(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.has_repeated_sentences(F.col("text")).alias("sentences"), T.has_repeated_fragments(F.col("text")).alias("fragments"))
+
+
+@query(r"""WITH l AS (SELECT conv_id, turn, unnest(string_split(trim(replace(text, chr(13), ''), ' ' || chr(9) || chr(10)), chr(10))) AS line, generate_subscripts(string_split(trim(replace(text, chr(13), ''), ' ' || chr(9) || chr(10)), chr(10)), 1) AS i FROM conversations),
+j AS (SELECT conv_id, turn, string_agg(CASE WHEN trim(line) = '' THEN '' ELSE line END, chr(10) ORDER BY i) AS t FROM l
+  WHERE NOT starts_with(trim(line), '```') AND NOT regexp_matches(lower(trim(line)), '^[* ]*(approved|rubrics|issues|revision|strict compliance notes|required facts & entities|required facts and entities|entities mentioned|logical order|fix|note):')
+    AND NOT regexp_matches(lower(trim(line)), '^[* ]*(history|persons|companies|charges|facts|evidence|assessment)[* ]*:?$') GROUP BY conv_id, turn)
+SELECT conv_id, turn, md5(trim(regexp_replace(regexp_replace(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]+', ' ', 'g'), '[ ]+([,.;:])', '\1', 'g'), ' ' || chr(10) || chr(9))) AS cleaned FROM j""")
+def clean_text(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(T.clean_generated(F.col("text")).cast("binary")).alias("cleaned"))
+
+
+@query(r"""WITH t AS (SELECT conv_id, turn, regexp_extract_all(replace(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), 'ß', 'ss'), '[\p{L}\p{N}\p{M}_£€$./-]+') AS w FROM conversations)
+SELECT a.conv_id, a.turn, CASE WHEN len(a.w) = 0 THEN 0 ELSE len(list_filter(a.w, lambda x: list_contains(b.w, x))) / len(a.w) END AS coverage FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1""")
+def token_coverage(spark, sf_dir):
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", T.tokens(F.col("text")).alias("w"))
+    before = t.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("w").alias("b"))
+    return t.join(before, ["conv_id", "turn"]).select("conv_id", "turn", T.token_coverage(F.col("w"), F.col("b")).alias("coverage"))
+
+
+def _issues(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.lit("facts").alias("section"), F.lit(120).alias("word_target"))
+    return rules.issues(docs)
+
+
+@query(r"""WITH t AS (SELECT doc_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS x FROM documents), m AS (
+  SELECT doc_id, 'Section contains markdown/list formatting; output must be plain prose.' AS issue FROM t WHERE regexp_matches(x, '(?m)^\s*#{1,6}\s+') OR regexp_matches(x, '(?m)^\s*[-*]\s+') OR regexp_matches(x, '(?m)^\s*\d+\.\s+') OR regexp_matches(x, '(?m)^\s*[-*_]{3,}\s*$') OR regexp_matches(x, '\*\*')
+  UNION ALL SELECT doc_id, 'Section contains unresolved placeholder markers (****).' FROM t WHERE regexp_matches(x, '\*{4,}')
+  UNION ALL SELECT doc_id, 'Section appears truncated or ends mid-sentence.' FROM t WHERE length(x) > 120 AND regexp_matches(x, '(?i)(?:^|[^\p{L}\p{N}_])(?:and|or|to|of|with|through|including|by|for|from|in|on|at|between)\.?$')
+  UNION ALL SELECT doc_id, 'Section is significantly shorter than the requested target.' FROM t WHERE len(regexp_extract_all(x, '\S+')) < 84)
+SELECT issue, count(*) AS n FROM m GROUP BY issue ORDER BY n DESC, issue LIMIT 8""")
+def top_failures(spark, sf_dir):
+    names = ("markdown_formatting", "placeholder_markers", "truncated_sentence", "minimum_length")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.lit("facts").alias("section"), F.lit(120).alias("word_target"))
+    return quality.top_failures(rules.issues(docs, {n: n in names for n in rules.RULES}))
+
+
+@query()
+def rule_issues(spark, sf_dir):
+    return _issues(spark, sf_dir).select("doc_id", F.size("issues").alias("n"), F.array_join("issues", "\n").alias("issues"))
+
+
+@query(r"SELECT page_id, trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) AS title, length(html) AS n FROM pages")
+def page_title_scan(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)).alias("title"), F.length("html").cast("bigint").alias("n"))
+
+
+@query(r"""SELECT c_custkey, split_part(a, ', ', 1) AS street, split_part(a, ', ', 2) AS city, array_to_string(list_transform(string_split(n, ' '), lambda w: upper(left(w, 1))), '.') || '.' AS initials,
+  upper(trim(regexp_replace(regexp_replace(c_name, '[^\p{L}\p{M}\p{N}\s& -]', ' ', 'g'), '\s+', ' ', 'g'))) AS company, trim(regexp_replace(regexp_replace(c_name, '[^\p{L}\p{M}\s'' -]', ' ', 'g'), '\s+', ' ', 'g')) AS person,
+  trim(regexp_replace(regexp_replace(lower(c_name || '  (' || c_mktsegment || ')'), '[^a-z0-9-]+', '-', 'g'), '-{2,}', '-', 'g'), '-') AS slug
+FROM (SELECT *, c_custkey || ' High Street, ' || c_mktsegment AS a, 'ann ' || lower(c_mktsegment) || ' ' || replace(c_name, '#', ' ') AS n FROM customer)""")
+def name_functions(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    street, city = T.split_address(F.concat(F.col("c_custkey").cast("string"), F.lit(" High Street, "), "c_mktsegment"))
+    name = F.concat(F.lit("Dr. ann "), F.lower("c_mktsegment"), F.lit(" "), F.replace(F.col("c_name"), F.lit("#"), F.lit(" ")))
+    return c.select("c_custkey", street.alias("street"), city.alias("city"), T.make_initials(name).alias("initials"), T.clean_company_token(F.col("c_name")).alias("company"), T.clean_person_part(F.col("c_name")).alias("person"), T.slug(F.concat("c_name", F.lit("  ("), "c_mktsegment", F.lit(")"))).alias("slug"))
+
+
+@query(f"""WITH {derived.CALLS} SELECT ord, nullif(regexp_extract(task_id, '^(?:section_planner_|writer_|polish_|critic_)(.*?)(?:_r.*)?$', 1), '') AS section, nullif(regexp_extract(task_id, '_r(\\d+)', 1), '')::BIGINT AS revision,
+  CASE WHEN latency_ms <= 30000 THEN 'very fast' WHEN latency_ms <= 90000 THEN 'fast' WHEN latency_ms <= 180000 THEN 'slow' ELSE 'very slow' END AS band,
+  CASE WHEN s >= 3600 THEN s // 3600 || 'h ' || (s // 60) % 60 || 'm ' || s % 60 || 's' WHEN s >= 60 THEN s // 60 || 'm ' || s % 60 || 's' ELSE s || 's' END AS duration
+FROM (SELECT *, round_even(latency_ms / 1000.0, 0)::BIGINT AS s FROM calls)""")
+def latency_and_tasks(spark, sf_dir):
+    c = derived.calls(spark, sf_dir)
+    return c.select("ord", T.section_of_task(F.col("task_id")).alias("section"), T.revision_of_task(F.col("task_id")).alias("revision"), T.latency_band(F.col("latency_ms")).alias("band"), T.duration_text(F.col("latency_ms")).alias("duration"))
+
+
+@query("SELECT event_id, (props::JSON->>'k')::BIGINT AS k, 'critic: ' || props || ' end' AS raw FROM events")
+def props_json_parse(spark, sf_dir):
+    raw = F.concat(F.lit("critic: "), "props", F.lit(" end"))
+    return table(spark, sf_dir, "events").select("event_id", F.from_json(T.json_object_in(raw), "k bigint")["k"].alias("k"), raw.alias("raw"))
+
+
+# -- quality -----------------------------------------------------------------------------------------------------------
+
+_LATEST = "latest AS (SELECT conv_id::VARCHAR AS doc_id, role AS section, turn AS revision, text FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC) = 1)"
+_SCORED = f"""{_LATEST}, wanted AS (SELECT * FROM (SELECT DISTINCT conv_id::VARCHAR AS doc_id FROM conversations), (VALUES ('system'), ('user'), ('assistant')) AS s(section)),
+s AS (SELECT *, {_WORDS.format("coalesce(text, '')")} AS words, CASE WHEN text IS NULL THEN 0 ELSE (regexp_matches(text, '\\*\\*'))::INTEGER + ({_WORDS.format("coalesce(text, '')")} < 60)::INTEGER END AS issue_count FROM wanted LEFT JOIN latest USING (doc_id, section)),
+scored AS (SELECT *, CASE WHEN text IS NULL THEN 0 ELSE greatest(0, 100 - least(60, issue_count * 12) - least(18, revision * 6) - CASE WHEN words < 80 THEN 15 ELSE 0 END) END::BIGINT AS score FROM s)"""
+_VERDICT = "CASE WHEN {0} >= 85 THEN 'good' WHEN {0} >= 70 THEN 'acceptable' WHEN {0} >= 50 THEN 'risky' ELSE 'bad' END"
+
+
+def _scored(spark, sf_dir):
+    targets = spark.createDataFrame([("system", 80), ("user", 80), ("assistant", 80)], "section string, word_target int")
+    artifacts = derived.sections(spark, sf_dir)
+    found = quality.expected_sections(targets, artifacts, artifacts)
+    count = F.size(F.concat(rules.RULES["markdown_formatting"](lambda n: F.coalesce("text", F.lit(""))), F.when(T.words(F.coalesce("text", F.lit(""))) < 60, F.array(F.lit("short"))).otherwise(F.array())))
+    return quality.section_scores(found.withColumn("word_count", T.words(F.coalesce("text", F.lit("")))).withColumn("issue_count", F.when(F.col("text").isNull(), 0).otherwise(count)))
+
+
+@query(f"WITH {_SCORED} SELECT doc_id, section, score, CASE WHEN text IS NULL THEN 'missing' ELSE {_VERDICT.format('score')} END AS verdict FROM scored".replace("regexp_matches(text, '\\*\\*')", "regexp_matches(text, '(?m)^\\s*#{1,6}\\s+') OR regexp_matches(text, '(?m)^\\s*[-*]\\s+') OR regexp_matches(text, '(?m)^\\s*\\d+\\.\\s+') OR regexp_matches(text, '(?m)^\\s*[-*_]{3,}\\s*$') OR regexp_matches(text, '\\*\\*')"))
+def section_quality_score(spark, sf_dir):
+    return _scored(spark, sf_dir).select("doc_id", "section", "score", "verdict")
+
+
+@query(f"WITH {_SCORED}, d AS (SELECT doc_id, sum(score) AS total, count(*) AS sections, count(*) FILTER (WHERE text IS NULL) AS missing_sections FROM scored GROUP BY doc_id) SELECT doc_id, total::BIGINT AS total, sections, missing_sections, {_VERDICT.format('total / sections')} AS verdict FROM d".replace("regexp_matches(text, '\\*\\*')", "regexp_matches(text, '(?m)^\\s*#{1,6}\\s+') OR regexp_matches(text, '(?m)^\\s*[-*]\\s+') OR regexp_matches(text, '(?m)^\\s*\\d+\\.\\s+') OR regexp_matches(text, '(?m)^\\s*[-*_]{3,}\\s*$') OR regexp_matches(text, '\\*\\*')"))
+def doc_quality_verdict(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    totals = scored.groupBy("doc_id").agg(F.sum("score").alias("total"))
+    return quality.document_scores(scored).join(totals, "doc_id").select("doc_id", "total", "sections", "missing_sections", "verdict")
+
+
+@query(f"WITH {_LATEST} SELECT * FROM latest")
+def latest_revision(spark, sf_dir):
+    return quality.latest_revision(derived.sections(spark, sf_dir))
+
+
+@query("SELECT conv_id AS doc_id, role AS section, turn AS chunk, sum(len(regexp_extract_all(text, '\\S+'))) OVER (PARTITION BY conv_id, role ORDER BY turn)::BIGINT AS words_so_far FROM conversations")
+def cumulative_words(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("role").alias("section"), F.col("turn").alias("chunk"), T.words(F.col("text")).alias("words"))
+    return telemetry.cumulative_words(c).select("doc_id", "section", "chunk", "words_so_far")
+
+
+# -- telemetry ---------------------------------------------------------------------------------------------------------
+
+_TOTALS = """count(*) AS calls, coalesce(sum(latency_ms), 0)::BIGINT AS total_ms, coalesce(sum(tokens_prompt), 0)::BIGINT AS tokens_prompt, coalesce(sum(tokens_response), 0)::BIGINT AS tokens_response,
+  count(*) FILTER (WHERE response_empty) AS empty, count(*) FILTER (WHERE done_reason = 'length') AS truncated, count(*) FILTER (WHERE error) AS errors, count(DISTINCT CASE WHEN revision_round > 0 THEN section_name END) AS revised_sections"""
+
+
+@query(f"WITH {derived.CALLS} SELECT coalesce(stage, 'unknown') AS stage, {_TOTALS}, round_even(sum(latency_ms) / count(*), 0)::BIGINT AS avg_ms FROM calls GROUP BY 1")
+def stage_rollup(spark, sf_dir):
+    return telemetry.stage_rollup(derived.calls(spark, sf_dir))
+
+
+@query(f"WITH {derived.CALLS} SELECT {_TOTALS} FROM calls")
+def call_totals(spark, sf_dir):
+    return telemetry.call_totals(derived.calls(spark, sf_dir))
+
+
+@query(f"WITH {derived.CALLS} SELECT section_name, task_id, stage, latency_ms FROM calls QUALIFY row_number() OVER (PARTITION BY section_name ORDER BY latency_ms DESC, ord) = 1")
+def max_call(spark, sf_dir):
+    return telemetry.largest_call(derived.calls(spark, sf_dir), "latency_ms", ("section_name",))
+
+
+@query(f"WITH {derived.CALLS}, s AS (SELECT coalesce(stage, 'unknown') AS stage, sum(latency_ms)::BIGINT AS total_ms FROM calls GROUP BY 1) SELECT stage, total_ms FROM s ORDER BY total_ms DESC, stage DESC LIMIT 1")
+def slowest_stage(spark, sf_dir):
+    return telemetry.slowest_stage(telemetry.stage_rollup(derived.calls(spark, sf_dir)))
+
+
+@query(f"""WITH {derived.CALLS}, r AS (SELECT ord, coalesce(stage, 'unknown') AS node_name, CASE WHEN error THEN 'error' ELSE 'ok' END AS status, latency_ms, lead(coalesce(stage, 'unknown')) OVER (PARTITION BY user_id ORDER BY ts, ord) AS next_node FROM calls)
+SELECT node_name, count(*) AS executions, round_even(avg(latency_ms), 0)::BIGINT AS avg_ms, max(latency_ms) AS max_ms, count(*) FILTER (WHERE status = 'error') AS errors, string_agg(DISTINCT next_node, ',' ORDER BY next_node) AS next_nodes, min(ord) AS first_ord FROM r GROUP BY node_name""")
+def node_rollup(spark, sf_dir):
+    c = derived.calls(spark, sf_dir).withColumn("node_name", F.coalesce("stage", F.lit("unknown")))
+    runs = c.select("ord", "node_name", F.when(F.col("error"), "error").otherwise("ok").alias("status"), "latency_ms", F.lead("node_name").over(Window.partitionBy("user_id").orderBy("ts", "ord")).alias("next_node"))
+    return telemetry.node_rollup(runs)
+
+
+def _rubrics(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    stack = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(n).alias("name"), v.cast("double").alias("value")) for i, (n, v) in enumerate((("rubric.quality", F.col("quality")), ("rubric.toxic", F.col("toxic")), ("rubric.grounding", (F.col("doc_id") % 5) + 1), ("rubric.overall", F.col("quality")), ("other", F.lit(1))))])).alias("r")
+    scores = labels.select((F.col("doc_id") * 10).alias("o"), F.concat(F.lit("obs"), F.col("doc_id").cast("string")).alias("observation_id"), stack).select((F.col("o") + F.col("r.i")).alias("ord"), "observation_id", "r.name", "r.value")
+    observations = labels.select(F.concat(F.lit("obs"), F.col("doc_id").cast("string")).alias("observation_id"), F.concat(F.lit("s"), (F.col("doc_id") % 7).cast("string")).alias("section_name"), (F.col("doc_id") % 4).alias("revision_round"))
+    return telemetry.with_observation(telemetry.rubric_scores(scores), observations)
+
+
+_RUBRICS = """rub AS (SELECT 's' || (doc_id % 7) AS section_name, doc_id % 4 AS revision_round, doc_id * 10 + i AS ord, metric, value FROM labels,
+  LATERAL (VALUES (0, 'quality', quality::DOUBLE), (1, 'toxic', toxic::DOUBLE), (2, 'grounding', (doc_id % 5 + 1)::DOUBLE)) AS v(i, metric, value))"""
+
+
+@query(f"WITH {_RUBRICS} SELECT metric, avg(value) AS average, count(*) AS n, min(ord) AS first_ord FROM rub GROUP BY metric")
+def rubric_summary(spark, sf_dir):
+    return telemetry.rubric_summary(_rubrics(spark, sf_dir))
+
+
+@query(f"WITH {_RUBRICS}, m AS (SELECT metric, avg(value) AS a, min(ord) AS o FROM rub GROUP BY metric) SELECT (SELECT metric FROM m ORDER BY a, o LIMIT 1) AS lowest_metric, round((SELECT avg(value) FROM rub), 6) AS overall")
+def rubric_overall(spark, sf_dir):
+    return telemetry.rubric_overall(_rubrics(spark, sf_dir)).withColumn("overall", F.round("overall", 6))
+
+
+@query(f"""WITH {_RUBRICS}, l AS (SELECT * FROM rub QUALIFY revision_round = max(revision_round) OVER (PARTITION BY section_name)),
+m AS (SELECT section_name, metric, round(avg(value), 2) AS a, max(revision_round) AS revision, count(*) AS n FROM l GROUP BY section_name, metric)
+SELECT section_name, round(avg(a), 2) AS overall, max(revision) AS revision, sum(n)::BIGINT AS scores FROM m GROUP BY section_name""")
+def latest_rubric_by_section(spark, sf_dir):
+    return telemetry.section_rubrics(_rubrics(spark, sf_dir))
+
+
+@query(f"""WITH {derived.CALLS}, o AS (SELECT section_name, revision_round, CASE WHEN user_id % 2 = 0 THEN 'writer' ELSE 'polisher' END AS stage, task_id || '_' || ord AS task_id FROM calls WHERE ord % 5 = 0),
+t AS (SELECT * FROM o QUALIFY revision_round = max(revision_round) OVER (PARTITION BY section_name, stage)), b AS (SELECT *, CASE stage WHEN 'polisher' THEN 0 ELSE 1 END AS k FROM t),
+c AS (SELECT * FROM b QUALIFY k = min(k) OVER (PARTITION BY section_name))
+SELECT section_name, stage, task_id, row_number() OVER (PARTITION BY section_name ORDER BY task_id)::INTEGER AS ord FROM c""")
+def latest_observations(spark, sf_dir):
+    o = derived.calls(spark, sf_dir).where("ord % 5 = 0").select("section_name", "revision_round", F.when(F.col("user_id") % 2 == 0, "writer").otherwise("polisher").alias("stage"), F.concat_ws("_", "task_id", F.col("ord").cast("string")).alias("task_id"))
+    return telemetry.latest_observations(o).select("section_name", "stage", "task_id", "ord")
+
+
+@query("SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type AS stage, count(*) AS calls, round(sum(value), 6) AS total, max(value) AS largest FROM events GROUP BY 1, 2")
+def events_daily(spark, sf_dir):
+    out = rollups.windowed_stages(table(spark, sf_dir, "events"))
+    return out.withColumn("total", F.round("total", 6)).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+# -- listings and model output -----------------------------------------------------------------------------------------
+
+
+@query("""WITH i AS (SELECT printf('en_%s_%s_%03d', CASE WHEN o_orderkey % 2 = 0 THEN 'indictment' ELSE 'court' END, lower(o_orderstatus), o_orderkey) AS doc_id FROM orders)
+SELECT (max(regexp_extract(doc_id, '_(\\d+)$', 1)::INTEGER) + 1) AS next_counter FROM i WHERE starts_with(doc_id, 'en_indictment')""")
+def next_counter(spark, sf_dir):
+    kind = F.when(F.col("o_orderkey") % 2 == 0, "indictment").otherwise("court")
+    ids = table(spark, sf_dir, "orders").select(T.doc_id(kind, F.lower("o_orderstatus"), F.col("o_orderkey")).alias("doc_id"))
+    return listing.next_counter(ids, "en_indictment")
+
+
+@query(f"""WITH {derived.DOCUMENTS}, u AS (SELECT doc_id, 0 AS r FROM docs UNION ALL SELECT doc_id, 1 FROM gt WHERE n % 6 = 0 UNION ALL SELECT doc_id, 2 FROM pred WHERE ord > 150)
+SELECT doc_id, max(r = 0) AS in_0, max(r = 1) AS in_1, max(r = 2) AS in_2, regexp_extract(doc_id, '_(\\d+)$', 1)::INTEGER AS counter FROM u GROUP BY doc_id""")
+def candidate_listing(spark, sf_dir):
+    ids = listing.union_of_ids(derived.documents(spark, sf_dir), derived.groundtruth(spark, sf_dir).where("n % 6 = 0"), derived.predictions(spark, sf_dir).where("ord > 150"))
+    return listing.ordered_candidates(ids)
+
+
+def _reviews(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    number = lambda c: c.cast("string")
+    body = F.concat(F.lit('```json\n{"blocking": '), F.when(F.col("toxic") == 1, "true").otherwise("false"), F.lit(', "edits": [], "issues": ["i'), number(F.col("doc_id") % 3), F.lit('"], "rubrics": {"grounding": '), number(F.col("doc_id") % 5 + 1), F.lit(', "Style Tone": '), number(F.col("doc_id") % 7), F.lit("}}\n```"))
+    return labels.select("doc_id", body.alias("raw_text"))
+
+
+@query("""WITH r AS (SELECT doc_id, toxic = 1 AS blocking, doc_id % 5 + 1 AS g, CASE WHEN doc_id % 7 BETWEEN 1 AND 5 THEN doc_id % 7 END AS st, 'i' || (doc_id % 3) AS issue FROM labels),
+o AS (SELECT *, CASE WHEN st IS NULL THEN g::DOUBLE ELSE (g + st) / 2 END AS overall FROM r)
+SELECT doc_id, overall, CASE WHEN g <= 2 THEN 'critical' WHEN overall >= 4 THEN 'accepted' WHEN blocking THEN 'blocked' ELSE 'own' END AS decision, g > 2 AND overall >= 4 AS approved,
+  CASE WHEN g <= 2 THEN issue || '|Critical rubric score: grounding = ' || g WHEN overall >= 4 THEN '' ELSE issue END AS issues FROM o""")
+def review_decisions(spark, sf_dir):
+    return model_output.decide(_reviews(spark, sf_dir)).select("doc_id", "overall", "decision", "approved", F.array_join("issues", "|").alias("issues"))
+
+
+@query("SELECT doc_id, 'r' || doc_id AS content, CASE WHEN doc_id % 2 = 0 THEN 's' || quality ELSE '' END AS summary FROM labels")
+def packet_parse(spark, sf_dir):
+    key = F.col("doc_id").cast("string")
+    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit('noise {"content": "r'), key, F.lit('", "summary": "s'), F.col("quality").cast("string"), F.lit('"} tail'))).otherwise(F.concat(F.lit("r"), key))
+    return table(spark, sf_dir, "labels").select("doc_id", model_output.parse_packet(raw).alias("p")).select("doc_id", "p.content", "p.summary")
+
+
+@query()
+def generated_cases(spark, sf_dir):
+    persons, orgs = generate.persons(spark, 40), generate.organisations(spark, 40)
+    meta = persons.select("doc_id").distinct().select("doc_id", F.concat(F.lit("CPS/2024/"), F.right("doc_id", F.lit(3)), F.lit("0")).alias("case_number"), F.lit("C/2024/1").alias("cross_ref"), F.lit("3 March 2026").alias("filing_date"), F.lit(None).cast("string").alias("offence_start"), F.lit(None).cast("string").alias("offence_end"))
+    none = spark.createDataFrame([], "doc_id string, ord bigint, particulars string, value string")
+    return groundtruth.build(persons, orgs, meta, none.select("doc_id", "ord", "particulars"), none.select("doc_id", "ord", "value"))
