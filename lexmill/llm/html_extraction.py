@@ -32,8 +32,10 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form aler
 #: Furniture by a word of class or id.
 _WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar widget footer header masthead cookie cookies consent notice notices "
-    "alert popup modal overlay newsletter subscribe signup login share sharing social related recommended comment comments commentlist discussion replies reply respond disqus pagination pager toolbar copyright disclaimer skip hidden".split()
+    "alert popup modal overlay newsletter subscribe signup login share sharing social related recommended comment comments commentlist discussion replies reply respond disqus pagination pager toolbar copyright disclaimer skip".split()
 )
+#: An article with one of these is not the page's own.
+_OTHER_ARTICLES = frozenset("comment comments reply teaser related promo ad advert sponsored".split())
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _PLAIN_START = re.compile(r"<([a-zA-Z][a-zA-Z0-9]*)>")
 _PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
@@ -97,13 +99,16 @@ class _Lines(HTMLParser):
             self.state()
         if tag not in _VOID:
             furniture = self.outside or tag in _OUTSIDE or (tag == "header" and not self.container)
-            if attrs and not furniture and tag not in ("html", "body", "article", "main"):
+            if attrs and not furniture and tag not in ("html", "body", "main"):
+                words = _OTHER_ARTICLES if tag == "article" else _WORDS
                 for name, value in attrs:
-                    if value and (name in ("class", "id") and not _WORDS.isdisjoint(_SPLIT.split(value.lower())) or name == "role" and value.lower() in _ROLES):
+                    if value and (name in ("class", "id") and not words.isdisjoint(_SPLIT.split(value.lower())) or name == "role" and value.lower() in _ROLES):
                         furniture = True
                     elif name == "hidden" or name == "aria-hidden" and value == "true":
                         furniture = True
             container = self.container
+            if tag == "h1" and container and not any(x[0] in _OUTSIDE for x in self.open):
+                furniture = False  # the headline of an article may stand in its own header
             if tag in ("article", "main") and not furniture and not container:
                 self.containers += 1
                 container = self.containers

@@ -20,6 +20,22 @@ r AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM r
+""",
+    "op3_hyperminhash": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+l AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM l),
+x AS (SELECT doc_id, unnest(s) AS s FROM l),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+k AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 75 * (na.n + nb.n - shared)),
+e AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, e.b FROM reach JOIN e ON e.a = reach.r)
+SELECT n.doc_id, n.n AS n_shingles, min(r) AS component_id, n.doc_id = min(r) AS kept FROM n JOIN reach ON reach.doc_id = n.doc_id GROUP BY n.doc_id, n.n
 """,
     "op7_block_search": """
 WITH v AS (

@@ -69,6 +69,8 @@ PARAGRAPH = "A sentence of ordinary running text that goes on for a while, as ar
         (f"<main><p>{PARAGRAPH}</p><aside>{PARAGRAPH}</aside><script>var a='<p>';</script><form>{PARAGRAPH}</form></main>", PARAGRAPH.strip()),
         (f"<div class='ad'>{PARAGRAPH}</div><div class='post'><p>{PARAGRAPH}</p><p>ok.</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH.strip()} ok. {PARAGRAPH.strip()}"),
         (f"<article><p>one <b>t</b>wo\n\tthree{PARAGRAPH}<br>four</p></article>", f"one two three{PARAGRAPH.strip()} four"),
+        (f"<article><div class='entry-header'><h1>Head</h1><p>By me</p></div><p>{PARAGRAPH}</p></article><section class='comments'><article><p>{PARAGRAPH}</p></article></section>", f"Head {PARAGRAPH.strip()}"),
+        (f"<article><p>{PARAGRAPH}</p></article><article class='comment'><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></article>", PARAGRAPH.strip()),
         ("<p>" + "x " * 300_000 + "</p>", ("x " * 300_000).strip()),
         ("<div>" * 5000 + "deep " * 40, ("deep " * 40).strip()),
     ],
