@@ -10,7 +10,9 @@ buckets of a single hash would stay empty for short documents, so each register
 3. A pair whose Jaccard estimate, corrected for chance collisions of registers, lies within five standard errors of
    the threshold is verified on the full sets. Verified links are joined to components.
 4. Buckets that still hold several components are finished exactly: members outside the component of the bucket's
-   smallest id meet all members of other components, and pass the same estimate and verification.
+   smallest id meet all members of other components. In buckets of up to ``large_bucket`` members these pairs pass the
+   same estimate and verification; in larger ones the exact check is the condition of the join, so that a large group
+   gives its links and not its pairs.
 
 With five rows and forty bands a pair at the threshold of 0.75 is missed with a probability of 2e-5, and less above.
 
@@ -147,9 +149,8 @@ def _likely(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFram
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, threshold: int, size: int, id_column: str, text_column: str, most_broadcast: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= ``threshold`` * union."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets_of(nodes: DataFrame, documents: DataFrame, size: int, id_column: str, text_column: str, most_broadcast: int) -> DataFrame:
+    """(node, s): the shingle sets of the listed documents, read again from their texts."""
     texts = _among(documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), "doc_id", nodes, most_broadcast)
     kind = documents.schema[id_column].dataType.simpleString()
 
@@ -160,15 +161,41 @@ def _verified(pairs: DataFrame, documents: DataFrame, threshold: int, size: int,
                 sets = [shingle_set(t, size).view(np.int64) for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "s"])
 
-    sets = texts.mapInArrow(run, f"node {kind}, s array<bigint>")
+    return texts.mapInArrow(run, f"node {kind}, s array<bigint>")
+
+
+def _verified(pairs: DataFrame, sets_of, threshold: int) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= ``threshold`` * union."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return joined.where(100 * shared >= threshold * (F.size("sa") + F.size("sb") - shared)).select("a", "b").distinct()
+    return joined.where(_reaches("sa", "sb", threshold)).select("a", "b").distinct()
+
+
+def _reaches(x: str, y: str, threshold: int):
+    """100 * shared >= threshold * (|x| + |y| - shared), with the intersection taken once."""
+    return (100 + threshold) * F.size(F.array_intersect(x, y)) >= threshold * (F.size(x) + F.size(y))
+
+
+def _linked_in_large(rest: DataFrame, reps: DataFrame, sets_of, threshold: int) -> DataFrame:
+    """Links between components in large buckets. The exact check is part of the join, so only links leave it.
+
+    A pair is checked in the first band it shares, and only if the sizes of its sets allow the similarity.
+    """
+    sets = sets_of(rest.select("node").distinct())
+    bands = reps.select(F.col("doc_id").alias("node"), "bands")
+    rows = rest.join(sets, "node").join(bands, "node").withColumn("earlier", F.slice("bands", F.lit(1), F.array_position("bands", F.col("band")).cast("int") - 1)).drop("bands")
+    x = rows.where("component <> main").select("band", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "earlier", "s")])
+    y = rows.select("band", (F.col("component") == F.col("main")).alias("inside"), *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "earlier", "s")])
+    small, large = F.least(F.size("x_s"), F.size("y_s")), F.greatest(F.size("x_s"), F.size("y_s"))
+    once = F.col("inside") | (F.col("x_node") < F.col("y_node"))
+    here = (x["band"] == y["band"]) & (F.col("x_component") != F.col("y_component")) & once & (100 * small >= threshold * large) & ~F.arrays_overlap("x_earlier", "y_earlier") & _reaches("x_s", "y_s", threshold)
+    return x.join(y, here).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, rows: int = 5, bands: int = 40, id_column: str = "doc_id", text_column: str = "text", most_broadcast: int = 1_000_000) -> DataFrame:
+def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, rows: int = 5, bands: int = 40, id_column: str = "doc_id", text_column: str = "text", most_broadcast: int = 1_000_000, large_bucket: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row. ``threshold`` is the Jaccard similarity in hundredths."""
     scratch = Scratch(documents.sparkSession)
+    sets_of = lambda nodes: _sets_of(nodes, documents, size, id_column, text_column, most_broadcast)
     sketches = scratch.keep(sketch(documents, rows, bands, size, id_column, text_column))
     classes = sketches.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
     reps = classes.groupBy("rep").agg(F.min("set_hash").alias("set_hash"))
@@ -182,18 +209,25 @@ def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, ro
     share = threshold / 100
     stars = shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     likely = scratch.keep(_likely(stars, reps, share))
-    links = scratch.keep(_verified(likely, documents, threshold, size, id_column, text_column, most_broadcast))
+    links = scratch.keep(_verified(likely, sets_of, threshold))
     scratch.drop(likely)
     found = components(links, scratch)
 
     # buckets with several components
     labelled = shared.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min_by("component", "node").alias("main")).where("c0 <> c1").select("band", "main")
-    rest = scratch.keep(labelled.join(mixed, "band"))
-    outside = rest.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    cross = outside.join(rest.select("band", F.col("node").alias("y"), F.col("component").alias("cy")), "band").where("cx <> cy")
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min_by("component", "node").alias("main"), F.count("*").alias("members")).where("c0 <> c1")
+    rest = scratch.keep(labelled.join(mixed.select("band", "main", "members"), "band"))
+    small = rest.where(F.col("members") <= large_bucket)
+    outside = small.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
+    cross = outside.join(small.select("band", F.col("node").alias("y"), F.col("component").alias("cy")), "band").where("cx <> cy")
     cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = scratch.keep(_verified(scratch.keep(_likely(cross, reps, share)), documents, threshold, size, id_column, text_column, most_broadcast))
+    likely = scratch.keep(_likely(cross, reps, share))
+    more = _verified(likely, sets_of, threshold)
+    large = rest.where(F.col("members") > large_bucket)
+    if large.take(1):
+        more = more.unionByName(_linked_in_large(large, reps, sets_of, threshold))
+    more = scratch.keep(more)
+    scratch.drop(likely, rest)
     if more.take(1):
         joined = links.select("a", "b").unionByName(more)
         found = components(joined, scratch)

@@ -70,6 +70,18 @@ def test_one_large_group_of_near_copies(spark):
     check(spark, variants(2, 1, 150), most_broadcast=0)
 
 
+def test_large_buckets_are_finished_exactly(spark):
+    rng = np.random.default_rng(6)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 60)]
+    rows = []
+    for key in range(120):
+        mine = list(base)
+        for at in rng.choice(60, int(rng.integers(0, 4)), replace=False):
+            mine[at] = f"v{rng.integers(0, 99)}"
+        rows.append((key, " ".join(mine)))
+    check(spark, rows, large_bucket=3)
+
+
 def test_edge_cases(spark):
     long = " ".join(f"x{i}" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "one two three four"), (8, "a b c d e"), (9, "A b c d e"), (10, "a b c d e a b c d e"), (11, long), (12, long + " end"), (13, "é É"), (14, "É é"), (15, "x y"), (16, "x y")]
