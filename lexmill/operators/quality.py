@@ -53,10 +53,10 @@ def document_scores(scored: DataFrame) -> DataFrame:
     return out.withColumn("verdict", T.verdict(F.col("overall_score")))
 
 
-def expected_sections(targets: DataFrame, artifacts: DataFrame, documents: DataFrame) -> DataFrame:
-    """Every document's expected sections with their latest artifact, if any. ``targets`` is a small list of sections."""
-    wanted = documents.select("doc_id").distinct().withColumn("_t", F.array(*[F.struct(F.lit(r[0]).alias("section"), F.lit(r[1]).alias("word_target")) for r in targets.select("section", "word_target").limit(1000).collect()]))
-    wanted = wanted.select("doc_id", F.explode("_t").alias("t")).select("doc_id", "t.section", "t.word_target")
+def expected_sections(targets: list[tuple[str, int]], artifacts: DataFrame, documents: DataFrame) -> DataFrame:
+    """Every document's expected sections (name, word target) with their latest artifact, if any."""
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("section"), F.lit(words).alias("word_target")) for name, words in targets])).alias("t")
+    wanted = documents.select("doc_id").distinct().select("doc_id", each).select("doc_id", "t.section", "t.word_target")
     return wanted.join(latest_revision(artifacts), ["doc_id", "section"], "left")
 
 

@@ -42,7 +42,9 @@ def largest_call(calls: DataFrame, field: str, by: tuple[str, ...] = ()) -> Data
 
 
 def slowest_stage(stages: DataFrame) -> DataFrame:
-    return stages.groupBy().agg(F.max_by(F.struct("stage", "total_ms"), F.struct(F.col("total_ms"), F.col("stage"))).alias("s")).select("s.*") if "ord" not in stages.columns else stages.groupBy().agg(F.max_by(F.struct("stage", "total_ms"), F.struct(F.col("total_ms"), (-F.col("ord")).alias("o"))).alias("s")).select("s.*")
+    """The stage of the largest total; on a tie the first by ``ord`` where there is one, else the last by name."""
+    tie = -F.col("ord") if "ord" in stages.columns else F.col("stage")
+    return stages.groupBy().agg(F.max_by(F.struct("stage", "total_ms"), F.struct(F.col("total_ms"), tie.alias("o"))).alias("s")).select("s.*")
 
 
 def node_rollup(runs: DataFrame) -> DataFrame:

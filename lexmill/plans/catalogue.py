@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import names, rules
 from ..functions import text as T
-from ..operators import evaluation, generate, graph, groundtruth, listing, model_output, quality, telemetry
+from ..operators import evaluation, generate, graph, groundtruth, listing, memory, model_output, overview, quality, telemetry
 from ..streaming import rollups
 from . import derived
 from .derived import table
@@ -370,9 +370,8 @@ _VERDICT = "CASE WHEN {0} >= 85 THEN 'good' WHEN {0} >= 70 THEN 'acceptable' WHE
 
 
 def _scored(spark, sf_dir):
-    targets = spark.createDataFrame([("system", 80), ("user", 80), ("assistant", 80)], "section string, word_target int")
     artifacts = derived.sections(spark, sf_dir)
-    found = quality.expected_sections(targets, artifacts, artifacts)
+    found = quality.expected_sections([("system", 80), ("user", 80), ("assistant", 80)], artifacts, artifacts)
     count = F.size(F.concat(rules.RULES["markdown_formatting"](lambda n: F.coalesce("text", F.lit(""))), F.when(T.words(F.coalesce("text", F.lit(""))) < 60, F.array(F.lit("short"))).otherwise(F.array())))
     return quality.section_scores(found.withColumn("word_count", T.words(F.coalesce("text", F.lit("")))).withColumn("issue_count", F.when(F.col("text").isNull(), 0).otherwise(count)))
 
@@ -478,6 +477,28 @@ def events_daily(spark, sf_dir):
     return out.withColumn("total", F.round("total", 6)).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@query(f"""WITH {_SCORED}, t AS (SELECT doc_id, sum(coalesce(revision, 0))::BIGINT AS revisions, sum(words)::BIGINT AS words, coalesce(string_agg(CASE WHEN text IS NULL THEN section END, ',' ORDER BY section), '') AS missing FROM scored GROUP BY doc_id)
+SELECT * FROM t""")
+def overview_totals(spark, sf_dir):
+    out = overview.totals(_scored(spark, sf_dir))
+    return out.select("doc_id", "revisions", "words", F.array_join("missing", ",").alias("missing"))
+
+
+@query()
+def memory_validation(spark, sf_dir):
+    """Rendered case documents against a memory that knows every other date."""
+    known = derived.surfaces(spark, sf_dir).where("label = 'DATE' and okey % 2 = 0").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n- ").alias("d"))
+    notes = known.select("doc_id", F.concat(F.lit("# CASE_MEMORY\n\n## Allowed References\n### Case References and Dates\n- "), "d", F.lit("\n")).alias("memory_text"))
+    texts = derived.documents(spark, sf_dir).select("doc_id", F.lit("history").alias("section"), "text", F.lit(0).alias("word_target"))
+    return memory.validate(texts, notes).select("doc_id", F.size("issues").alias("n"), F.array_join("issues", "\n").alias("issues"))
+
+
+@query("SELECT c_custkey, array_to_string(list_distinct(v), '|') AS nick FROM (SELECT c_custkey, CASE WHEN length(c_mktsegment) > 4 THEN [left(c_mktsegment, 4)] ELSE [] END AS v FROM customer)")
+def name_variants(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", F.array_join(F.slice(names.nicknames(F.col("c_mktsegment")), 1, 1), "|").alias("nick"))
+
+
 # -- listings and model output -----------------------------------------------------------------------------------------
 
 
