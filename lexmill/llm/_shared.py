@@ -2,13 +2,76 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+class Recent(dict):
+    """A dictionary that makes what it misses and holds at most twice ``most`` entries, the recently used ones.
+
+    It belongs to an operator: when a worker turns to another one, it is emptied.
+    """
+
+    every: list[weakref.ref] = []
+
+    def __init__(self, make, owner: str, most: int = 100_000):
+        super().__init__()
+        self.make, self.owner, self.most, self.old = make, owner, most, {}
+        Recent.every = [r for r in Recent.every if r() is not None] + [weakref.ref(self)]
+
+    def __missing__(self, key):
+        found = self.old.pop(key, None)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def worker(owner: str, run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` as a function of a partition's Arrow batches that leaves little behind in its worker."""
+
+    def whole(batches: Iterator) -> Iterator:
+        for reference in Recent.every:
+            other = reference()
+            if other is not None and other.owner != owner:
+                other.clear()
+                other.old = {}
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return whole
+
+
+def small_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 8) -> None:
+    """Arrow batches of the session get no larger than this: texts are long, and two tasks hold several batches each."""
+    size_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, most, number in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows, int), ("spark.sql.execution.arrow.maxBytesPerBatch", megabytes << 20, size_of)):
+        now = number(spark.conf.get(key))
+        if now > most or now <= 0:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; the path is only ever opened by Spark's readers."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

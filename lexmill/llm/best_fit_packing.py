@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ._shared import Recent, small_batches, worker
+
 # What the tokenizer file's own pre-tokenizer splits a chunk without white space into.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 # Characters whose lower case or white-space class differs between Python and the tokenizer library.
@@ -37,7 +39,7 @@ class ChunkTokenizer:
     a text count as ordinary text.
     """
 
-    def __init__(self, path: str, most_kept: int = 400_000):
+    def __init__(self, path: str, most_kept: int = 100_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -46,27 +48,17 @@ class ChunkTokenizer:
         self.whole.encode_special_tokens = True
         plan |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
         self.model = Tokenizer.from_str(json.dumps(plan)).model
-        self.most_kept = most_kept
         self.bytes_as_text = _byte_alphabet()
-        outer = self
-
-        class Parts(dict):
-            def __missing__(self, part: str) -> bytes:
-                mapped = part.encode().decode("latin-1").translate(outer.bytes_as_text)
-                ids = b"".join(t.id.to_bytes(4, "little") for t in outer.model.tokenize(mapped))
-                self[part] = ids
-                return ids
-
-        class Chunks(dict):
-            def __missing__(self, chunk: str) -> bytes:
-                if _WIDE.search(chunk):
-                    ids = outer.by_library(chunk)
-                else:
-                    ids = b"".join(map(outer.parts.__getitem__, _PARTS.findall(chunk)))
-                self[chunk] = ids
-                return ids
-
-        self.parts, self.chunks = Parts(), Chunks()
+        self.parts, self.chunks = Recent(self._part, "packing", most_kept), Recent(self._chunk, "packing", most_kept)
+
+    def _part(self, part: str) -> bytes:
+        mapped = part.encode().decode("latin-1").translate(self.bytes_as_text)
+        return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped))
+
+    def _chunk(self, chunk: str) -> bytes:
+        if _WIDE.search(chunk):
+            return self.by_library(chunk)
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(chunk)))
 
     def by_library(self, text: str) -> bytes:
         return b"".join(i.to_bytes(4, "little") for i in self.whole.encode(text, add_special_tokens=False).ids)
@@ -76,11 +68,7 @@ class ChunkTokenizer:
             return self.by_library(text)
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-        ids = b"".join(map(self.chunks.__getitem__, text.lower().split()))
-        for kept in (self.chunks, self.parts):
-            if len(kept) > self.most_kept:
-                kept.clear()
-        return ids
+        return b"".join(map(self.chunks.__getitem__, text.lower().split()))
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -145,6 +133,7 @@ def pack(documents: DataFrame, vocabulary: str, capacity: int = 2048, terminator
     kind = documents.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
     schema = StructType.fromDDL(schema + (", ids array<int>" if with_ids else ""))
+    small_batches(documents.sparkSession)
     size, end = 4 * capacity, terminator.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,4 +164,4 @@ def pack(documents: DataFrame, vocabulary: str, capacity: int = 2048, terminator
             columns = [keys.take(pa.array(owner, pa.int64())), piece, start, length, crc, where, offset] + ([tokens] if with_ids else [])
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return documents.select(F.col(id_column), F.col(text_column)).mapInArrow(run, schema)
+    return documents.select(F.col(id_column), F.col(text_column)).mapInArrow(worker("packing", run), schema)

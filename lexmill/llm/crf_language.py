@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._shared import hashed_sample
+from ._shared import hashed_sample, small_batches, worker
 
 UNKNOWN = "und"
-_SPAN = 2_000_000
+_SPAN = 400_000
 _letters: np.ndarray | None = None
 
 
@@ -281,6 +281,7 @@ def label_texts(texts: list[str | None], model: LanguageModel | None, runs: bool
 def identify(documents: DataFrame, model: LanguageModel | None, text_column: str = "text", runs: bool = False, block: int = 1024) -> DataFrame:
     """``documents`` with lang_pred and lang_score, and with ``runs`` lang_runs: stretches of one language in code points."""
     more = "lang_pred string, lang_score double" + (", lang_runs array<struct<start: bigint, end: bigint, lang: string, score: double>>" if runs else "")
+    small_batches(documents.sparkSession)
     documents = documents.drop("lang_pred", "lang_score", *["lang_runs"] * runs)
     schema = StructType(documents.schema.fields + StructType.fromDDL(more).fields)
     at_text = documents.columns.index(text_column)
@@ -298,4 +299,4 @@ def identify(documents: DataFrame, model: LanguageModel | None, text_column: str
                     columns.append(pa.array([[dict(zip(("start", "end", "lang", "score"), r)) for r in rs] for rs in found], arrow[-1].type))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(worker("language", run), schema)

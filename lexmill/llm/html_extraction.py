@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ._shared import small_batches, worker
+
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
 #: Never text of the page.
@@ -207,6 +209,7 @@ def extract_text(html: str | None, sigma: float = 1.0, link_share: float = 0.6)
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", block: int = 256) -> DataFrame:
     """id, url, text and n_chars (code points) of every page."""
+    small_batches(pages.sparkSession)
     kind = pages.schema[id_column].dataType.simpleString()
     schema = StructType.fromDDL(f"`{id_column}` {kind}, `{url_column}` string, text string, n_chars bigint")
 
@@ -217,4 +220,4 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
                 texts = [extract_text(x) for x in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
-    return pages.select(F.col(id_column), F.col(url_column), F.col(html_column)).mapInArrow(run, schema)
+    return pages.select(F.col(id_column), F.col(url_column), F.col(html_column)).mapInArrow(worker("html", run), schema)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch
+from ._shared import Scratch, small_batches, worker
 from .shingles import shingle_set
 
 MANTISSA = 10
@@ -100,7 +100,7 @@ def sketch(documents: DataFrame, rows: int, bands: int, size: int, id_column: st
                     names=["doc_id", "n_shingles", "set_hash", "registers", "bands"],
                 )
 
-    return documents.select(F.col(id_column), F.col(text_column)).mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_hash binary, registers binary, bands array<bigint>")
+    return documents.select(F.col(id_column), F.col(text_column)).mapInArrow(worker("shingles", run), f"doc_id {kind}, n_shingles bigint, set_hash binary, registers binary, bands array<bigint>")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -146,7 +146,7 @@ def _likely(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFram
             keep = j >= threshold - 5 * (threshold * (1 - threshold) / x.shape[1]) ** 0.5
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.mapInArrow(worker("shingles", run), f"a {kind}, b {kind}")
 
 
 def _sets_of(nodes: DataFrame, documents: DataFrame, size: int, id_column: str, text_column: str, most_broadcast: int) -> DataFrame:
@@ -161,7 +161,7 @@ def _sets_of(nodes: DataFrame, documents: DataFrame, size: int, id_column: str,
                 sets = [shingle_set(t, size).view(np.int64) for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "s"])
 
-    return texts.mapInArrow(run, f"node {kind}, s array<bigint>")
+    return texts.mapInArrow(worker("shingles", run), f"node {kind}, s array<bigint>")
 
 
 def _verified(pairs: DataFrame, sets_of, threshold: int) -> DataFrame:
@@ -194,6 +194,7 @@ def _linked_in_large(rest: DataFrame, reps: DataFrame, sets_of, threshold: int)
 
 def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, rows: int = 5, bands: int = 40, id_column: str = "doc_id", text_column: str = "text", most_broadcast: int = 1_000_000, large_bucket: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row. ``threshold`` is the Jaccard similarity in hundredths."""
+    small_batches(documents.sparkSession)
     scratch = Scratch(documents.sparkSession)
     sets_of = lambda nodes: _sets_of(nodes, documents, size, id_column, text_column, most_broadcast)
     sketches = scratch.keep(sketch(documents, rows, bands, size, id_column, text_column))

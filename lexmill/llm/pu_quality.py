@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._shared import hashed_sample, texts_of
+from ._shared import hashed_sample, small_batches, texts_of, worker
 
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _STOP, _MARK, _CRY, _SIGN, _BAR, _WIDE = range(11)
 
@@ -167,12 +167,13 @@ def _measured(texts: DataFrame, id_column: str) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["k", "x"])
 
     kind = texts.schema[id_column].dataType.simpleString()
-    rows = texts.mapInArrow(run, f"k {kind}, x array<double>").groupBy("k").agg(F.min("x").alias("x")).orderBy("k").collect()
+    rows = texts.mapInArrow(worker("quality", run), f"k {kind}, x array<double>").groupBy("k").agg(F.min("x").alias("x")).orderBy("k").collect()
     return np.array([r.x for r in rows]).reshape(-1, MEASURES)
 
 
 def train(documents: DataFrame, positives: DataFrame, unlabelled: DataFrame, prior: float | None = None, most_positive: int = 6000, most_unlabelled: int = 12000, most_chars: int = 100_000, id_column: str = "doc_id", text_column: str = "text") -> QualityModel | None:
     """Learn from the texts that ``documents`` has for the ids of ``positives`` and of ``unlabelled``."""
+    small_batches(documents.sparkSession)
     short = documents.where(F.coalesce(F.length(text_column), F.lit(0)) <= most_chars)
     x = [_measured(texts_of(short, hashed_sample(ids, id_column, most, seed), id_column, text_column), id_column) for ids, most, seed in ((positives, most_positive, 11), (unlabelled, most_unlabelled, 12))]
     return fit(*x, prior=prior)
@@ -180,6 +181,7 @@ def train(documents: DataFrame, positives: DataFrame, unlabelled: DataFrame, pri
 
 def score(documents: DataFrame, model: QualityModel | None, threshold: float = 0.3, id_column: str = "doc_id", text_column: str = "text", block: int = 512) -> DataFrame:
     """``documents`` with two more columns: quality_score and quality_kept (the score reaches ``threshold``)."""
+    small_batches(documents.sparkSession)
     documents = documents.drop("quality_score", "quality_kept")
     names = documents.columns
     schema = StructType(documents.schema.fields + StructType.fromDDL("quality_score double, quality_kept boolean").fields)
@@ -195,4 +197,4 @@ def score(documents: DataFrame, model: QualityModel | None, threshold: float = 0
                     y = model.score(np.array([measures(t or "") for t in batch.column(at_text).to_pylist()]).reshape(-1, MEASURES))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(y), pa.array(y >= threshold)], names=schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(worker("quality", run), schema)

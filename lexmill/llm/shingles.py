@@ -5,24 +5,14 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from ._shared import Recent
+
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-class WordHashes(dict):
-    """64-bit hash of each word seen, bounded: it starts anew when it has grown too large."""
-
-    most = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.most:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_hashes = WordHashes()
+_hashes = Recent(xxhash.xxh3_64_intdigest, "shingles")
 
 
 def words_of(text: str) -> list[bytes]:

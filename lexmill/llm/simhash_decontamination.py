@@ -32,24 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ._shared import Recent, small_batches, worker
 from .shingles import shingle_hashes
 
 _DROP = re.compile(r"[\W_]+")
 BITS = 64
 
 
-class _Tokens(dict):
-    """Hash of the normalised token, 0 for one without letters and digits; bounded."""
+def _token_hash(token: str) -> int:
+    """Hash of the normalised token, 0 for one without letters and digits."""
+    bare = token if token.isalnum() else _DROP.sub("", token)
+    return xxhash.xxh3_64_intdigest(bare.encode("utf-8", "replace")) | 1 if bare else 0
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        bare = token if token.isalnum() else _DROP.sub("", token)
-        self[token] = found = xxhash.xxh3_64_intdigest(bare.encode("utf-8", "replace")) | 1 if bare else 0
-        return found
 
-
-_tokens = _Tokens()
+_tokens = Recent(_token_hash, "tokens")
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -198,6 +194,7 @@ def _slices(benchmark: DataFrame, item_column: str, text_column: str, most_items
 
 def mark(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.75, size: int = 5, radius: int = 24, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", most_items: int = 50_000, most_chars: int = 30_000_000, block: int = 1024) -> DataFrame:
     """``documents`` with the column contamination: an array of (item, start, words, similarity), empty if clean."""
+    small_batches(documents.sparkSession)
     kind = benchmark.schema[item_column].dataType.simpleString()
     array = f"array<struct<item: {kind}, start: bigint, words: bigint, similarity: double>>"
     out = documents.drop("contamination").withColumn("contamination", F.array().cast(array))
@@ -217,5 +214,5 @@ def mark(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.75, si
                     both = pa.array([h + [dict(zip(("item", "start", "words", "similarity"), f)) for f in fs] for h, fs in zip(had, found)], arrow[-1].type)
                     yield pa.RecordBatch.from_arrays([*batch.columns[:-1], both], names=schema.names)
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(worker("tokens", run), schema)
     return out

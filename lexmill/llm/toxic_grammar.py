@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._shared import hashed_sample, texts_of
+from ._shared import Recent, hashed_sample, small_batches, texts_of, worker
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, SOFT, QUOTED = "other insult threat target negation report soft quoted".split()
 
@@ -155,29 +155,15 @@ class Lexicon:
 class Reader:
     """Reads texts with one lexicon; what it has looked up is kept in a bounded dictionary."""
 
-    def __init__(self, lexicon: Lexicon, most_kept: int = 500_000):
+    def __init__(self, lexicon: Lexicon):
         self.next, self.weights = GRAMMAR.table(ALPHABET)
-        self.most_kept = most_kept
-
-        class Seen(dict):
-            def __missing__(seen, word):
-                seen[word] = found = lexicon.look(word)
-                return found
-
-        class Hits(dict):
-            def __missing__(hits, word):
-                hits[word] = found = lexicon.look(word)[0] in (1, 2)
-                return found
-
-        self.seen, self.hits = Seen(), Hits()
+        self.seen = Recent(lexicon.look, "toxic", 20_000)
+        self.hits = Recent(lambda word: lexicon.look(word)[0] in (1, 2), "toxic")
 
     def clauses(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words, and (start, end, score) in code points of the clauses with a positive score."""
         low = text.lower()
         words = _WORD.findall(low)
-        if len(self.hits) > self.most_kept:
-            self.hits.clear()
-            self.seen.clear()
         if not any(map(self.hits.__getitem__, words)):
             return len(words), []
         found, at = [], 0
@@ -309,7 +295,7 @@ def fit(toxic: list[str], clean: list[str], share: float, steps: int = 800, rate
 def train(documents: DataFrame, labels: DataFrame, most_toxic: int = 2500, most_clean: int = 6000, most_chars: int = 20_000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> ToxicModel:
     """Learn from a bounded sample of the texts that ``labels`` marks 1 or 0."""
     short = documents.where(F.length(text_column) <= most_chars)
-    counts = {r[0]: r[1] for r in labels.groupBy(label_column).count().collect()}
+    counts = {r[0]: r[1] for r in labels.where(F.col(label_column).isin(0, 1)).groupBy(label_column).count().collect()}
     texts = []
     for label, most in ((1, most_toxic), (0, most_clean)):
         ids = hashed_sample(labels.where(F.col(label_column) == label), id_column, most, 31 + label)
@@ -320,6 +306,7 @@ def train(documents: DataFrame, labels: DataFrame, most_toxic: int = 2500, most_
 
 def score(documents: DataFrame, model: ToxicModel, threshold: float = 0.3, clauses: bool = False, text_column: str = "text", block: int = 1024) -> DataFrame:
     """``documents`` with toxic_score and toxic_flag, and with ``clauses`` the matched clauses in code points of the lower-cased text."""
+    small_batches(documents.sparkSession)
     documents = documents.drop("toxic_score", "toxic_flag", *["toxic_clauses"] * clauses)
     more = "toxic_score double, toxic_flag boolean" + (", toxic_clauses array<struct<start: bigint, end: bigint, score: double>>" if clauses else "")
     schema = StructType(documents.schema.fields + StructType.fromDDL(more).fields)
@@ -340,4 +327,4 @@ def score(documents: DataFrame, model: ToxicModel, threshold: float = 0.3, claus
                     columns.append(pa.array([[dict(zip(("start", "end", "score"), c)) for c in reader.clauses(t or "")[1]] for t in texts], arrow[-1].type))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(worker("toxic", run), schema)

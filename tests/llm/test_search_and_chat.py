@@ -2,9 +2,6 @@ import hashlib
 import math
 
 import numpy as np
-import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexmill.llm import block_search, chat_format, queries
