@@ -13,7 +13,7 @@ from lexmill.llm import best_fit_packing, crf_language, hyperminhash, pu_quality
 from lexmill.llm._shared import Scratch, fold_of, table
 
 #: A document goes if less than this share of its words' posterior mass is of one language.
-LEAST_LANGUAGE = 0.4
+LEAST_LANGUAGE = 0.3
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
