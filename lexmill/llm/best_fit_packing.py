@@ -49,7 +49,7 @@ class ChunkTokenizer:
         plan |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
         self.model = Tokenizer.from_str(json.dumps(plan)).model
         self.bytes_as_text = _byte_alphabet()
-        self.parts, self.chunks = Recent(self._part, "packing", most_kept), Recent(self._chunk, "packing", most_kept)
+        self.parts, self.chunks = Recent(self._part, "packing", most_kept), Recent(self._chunk, "packing", 2 * most_kept)
 
     def _part(self, part: str) -> bytes:
         mapped = part.encode().decode("latin-1").translate(self.bytes_as_text)
