@@ -92,14 +92,17 @@ def section_rubrics(rubrics: DataFrame) -> DataFrame:
     return means.groupBy("section_name").agg(F.round(F.avg("average"), 2).alias("overall"), F.max("revision").alias("revision"), F.sum("n").alias("scores"))
 
 
-def latest_observations(observations: DataFrame, stages: tuple[str, ...] = ("polisher", "writer")) -> DataFrame:
-    """Latest revision of each section and stage, in chunk order; of the stages only the first that a section has."""
+def latest_observations(observations: DataFrame, stages: tuple[str, ...] = ("polisher", "writer"), ties: tuple[str, ...] = ()) -> DataFrame:
+    """Latest revision of each section and stage, in chunk order; of the stages only the first that a section has.
+
+    Rows of one chunk stand in the order of their task and then of the columns ``ties``.
+    """
     rank = F.coalesce(*[F.when(F.col("stage") == s, F.lit(i)) for i, s in enumerate(stages)])
     kept = latest_revision_set(observations.where(F.col("stage").isin(*stages)), ("section_name", "stage"), "revision_round").withColumn("_rank", rank)
     best = F.min("_rank").over(Window.partitionBy("section_name"))
     kept = kept.withColumn("_best", best).where("_rank = _best")
     chunk = F.coalesce(F.nullif(F.regexp_extract("task_id", r"_chunk_(\d+)$", 1), F.lit("")).cast("int"), F.lit(0))
-    order = Window.partitionBy("section_name").orderBy(chunk, "task_id")
+    order = Window.partitionBy("section_name").orderBy(chunk, "task_id", *ties)
     return kept.withColumn("ord", F.row_number().over(order)).drop("_rank", "_best")
 
 

@@ -471,6 +471,16 @@ def latest_observations(spark, sf_dir):
     return telemetry.latest_observations(o).select("section_name", "stage", "task_id", "ord")
 
 
+@query(f"""WITH {derived.CALLS}, o AS (SELECT section_name, revision_round, CASE WHEN user_id % 2 = 0 THEN 'writer' ELSE 'polisher' END AS stage, task_id, ord AS call FROM calls),
+t AS (SELECT * FROM o QUALIFY revision_round = max(revision_round) OVER (PARTITION BY section_name, stage)), b AS (SELECT *, CASE stage WHEN 'polisher' THEN 0 ELSE 1 END AS k FROM t),
+c AS (SELECT * FROM b QUALIFY k = min(k) OVER (PARTITION BY section_name))
+SELECT section_name, stage, task_id, call, row_number() OVER (PARTITION BY section_name ORDER BY regexp_extract(task_id, '_chunk_(\\d+)$', 1)::INTEGER, task_id, call)::INTEGER AS ord FROM c""")
+def latest_observations_whole(spark, sf_dir):
+    """Observations of every call, by chunk number; ``latest_observations`` holds a fifth of them, as its SQL does."""
+    o = derived.calls(spark, sf_dir).select("section_name", "revision_round", F.when(F.col("user_id") % 2 == 0, "writer").otherwise("polisher").alias("stage"), "task_id", F.col("ord").alias("call"))
+    return telemetry.latest_observations(o, ties=("call",)).select("section_name", "stage", "task_id", "call", "ord")
+
+
 @query("SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type AS stage, count(*) AS calls, round(sum(value), 6) AS total, max(value) AS largest FROM events GROUP BY 1, 2")
 def events_daily(spark, sf_dir):
     out = rollups.windowed_stages(table(spark, sf_dir, "events"))
