@@ -2,8 +2,8 @@
 
 ``html.parser`` events are cut into lines, one a block element. Each line has a text-to-tag ratio; the ratios are
 smoothed with a Gaussian and split by a two-means threshold, and the lines above it mark the content region. The
-region then grows to whole blocks: the ``article``/``main`` element that holds most of the marked text, or, without
-one, the marked lines and what lies between them. Lines inside menus, headers, footers, sidebars, notices, adverts,
+region then grows to whole blocks: the ``article``/``main`` element that holds at least half of the marked text, or,
+where none does, the marked lines and what lies between them. Lines inside menus, headers, footers, sidebars, notices, adverts,
 forms, comments and other furniture never count.
 
 Defined results: null or empty html gives an empty text; a page without content lines gives an empty text; repeated
@@ -62,7 +62,7 @@ class _Lines(HTMLParser):
         if not self.lines or self.lines[-1][0]:
             self.lines.append([[], 0, 0, self.outside, self.container])
         else:
-            self.lines[-1][3:] = self.outside, self.container
+            self.lines[-1][1:] = 0, 0, self.outside, self.container
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # nothing here asks for line numbers
@@ -195,14 +195,6 @@ def extract_text(html: str | None, sigma: float = 1.0, link_share: float = 0.6)
     box = max(held, key=lambda b: (held[b], -b))
     if box > 0 and 2 * held[box] >= sum(held.values()):
         return " ".join(t for t, b in zip(texts, boxes) if b == box)
-    if page.containers:  # marked text lies mostly outside every container: the largest container still is the article
-        size: dict[int, int] = {}
-        for t, b in zip(texts, boxes):
-            if b > 0:
-                size[b] = size.get(b, 0) + len(t)
-        if size:
-            box = max(size, key=lambda b: (size[b], -b))
-            return " ".join(t for t, b in zip(texts, boxes) if b == box)
     where = np.flatnonzero(marked)
     return " ".join(texts[where[0] : where[-1] + 1])
 

