@@ -4,7 +4,7 @@
 smoothed with a Gaussian and split by a two-means threshold, and the lines above it mark the content region. The
 region then grows to whole blocks: the ``article``/``main`` element that holds at least half of the marked text, or,
 where none does, the marked lines and what lies between them. Lines inside menus, headers, footers, sidebars, notices, adverts,
-forms, comments and other furniture never count.
+forms, comments and other furniture never count. Lines that are mostly links are dropped only outside a chosen element.
 
 Defined results: null or empty html gives an empty text; a page without content lines gives an empty text; repeated
 rows are each extracted; unclosed and stray tags are tolerated; other columns are ignored.
@@ -47,7 +47,7 @@ _SCOPES = frozenset("ul ol dl table article main section div body td th nav asid
 
 
 class _Lines(HTMLParser):
-    """Lines of one page as [text parts, tags, link characters, furniture, container]."""
+    """Lines of one page as [text parts, tags, link parts, furniture, container]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -60,9 +60,9 @@ class _Lines(HTMLParser):
 
     def new(self) -> None:
         if not self.lines or self.lines[-1][0]:
-            self.lines.append([[], 0, 0, self.outside, self.container])
+            self.lines.append([[], 0, [], self.outside, self.container])
         else:
-            self.lines[-1][1:] = 0, 0, self.outside, self.container
+            self.lines[-1][1:] = 0, [], self.outside, self.container
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # nothing here asks for line numbers
@@ -141,7 +141,7 @@ class _Lines(HTMLParser):
         line = self.lines[-1]
         line[0].append(data)
         if self.link:
-            line[2] += len(data)
+            line[2].append(data)
 
 
 def _smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -173,30 +173,34 @@ def extract_text(html: str | None, sigma: float = 1.0, link_share: float = 0.6)
     page = _Lines()
     page.feed(html)
     page.close()
-    texts, ratios, boxes = [], [], []
+    texts, ratios, boxes, links = [], [], [], []
     for parts, tags, linked, outside, container in page.lines:
         text = " ".join("".join(parts).split())
-        if not text:
+        if not text or outside:
             continue
-        if outside or linked >= link_share * len(text):
+        link = len(" ".join("".join(linked).split())) if linked else 0
+        mostly = link >= link_share * len(text)
+        if mostly and not container:
             continue
         texts.append(text)
-        ratios.append(len(text) / max(1, tags))
+        ratios.append((len(text) - link * mostly) / max(1, tags))
         boxes.append(container)
+        links.append(mostly)
     if not texts:
         return ""
     ratio = np.array(ratios)
     smooth = _smooth(ratio, sigma)
     threshold = _threshold(smooth)
-    marked = (smooth >= threshold) | (ratio >= threshold)
+    where = np.flatnonzero((smooth >= threshold) | (ratio >= threshold))
     held: dict[int, int] = {}
-    for k in np.flatnonzero(marked):
+    prose = [k for k in where if not links[k]]
+    for k in prose or where:  # links choose an element only where nothing else does
         held[boxes[k]] = held.get(boxes[k], 0) + len(texts[k])
     box = max(held, key=lambda b: (held[b], -b))
     if box > 0 and 2 * held[box] >= sum(held.values()):
         return " ".join(t for t, b in zip(texts, boxes) if b == box)
-    where = np.flatnonzero(marked)
-    return " ".join(texts[where[0] : where[-1] + 1])
+    # of an element without marked text, such as a teaser between paragraphs, no line of links stays
+    return " ".join(texts[k] for k in range(where[0], where[-1] + 1) if not links[k] or boxes[k] in held)
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", block: int = 256) -> DataFrame:

@@ -91,6 +91,25 @@ def test_text_outside_containers(html, want):
     assert html_extraction.extract_text(html).removeprefix("One ") == want
 
 
+LINK = "<a href='/x'>A linked reference of some length</a>"
+LINKED = "A linked reference of some length"
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f"<article><p>{PARAGRAPH}</p><p>{LINK} too</p><ul><li>{LINK}<li>{LINK}</ul></article><p>{LINK}</p>", f"{PARAGRAPH.strip()} {LINKED} too {LINKED} {LINKED}"),
+        (f"<main><ul><li>{LINK}<li>{LINK}</ul></main>", f"{LINKED} {LINKED}"),
+        ("".join(f"<article><p>{PARAGRAPH}</p><p>{LINK}</p><p>{PARAGRAPH}</p></article>" for _ in range(3)), " ".join(f"{PARAGRAPH.strip()} {LINKED} {PARAGRAPH.strip()}" for _ in range(3))),
+        (f"<div><p>{PARAGRAPH}</p><article><p>{LINK}</p></article><p>{LINK}</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH.strip()} {PARAGRAPH.strip()}"),
+        (f"<p>{PARAGRAPH}</p><p>see <a href='/x'>{' ' * 300}here{' ' * 300}</a> and there, please</p><p>{PARAGRAPH}</p>", f"{PARAGRAPH.strip()} see here and there, please {PARAGRAPH.strip()}"),
+        (f"<p>{PARAGRAPH}</p><p>{LINK}</p><p>{PARAGRAPH}</p>", f"{PARAGRAPH.strip()} {PARAGRAPH.strip()}"),
+    ],
+)
+def test_links_in_and_outside_articles(html, want):
+    assert html_extraction.extract_text(html) == want
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", None, "t"), (None, None, "<p>a</p>", "t"), (1, "u", None, "t")]
     got = html_extraction.extract(frame(spark, rows, "page_id long, url string, html string, text string")).collect()
