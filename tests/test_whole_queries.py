@@ -2,6 +2,7 @@
 
 import json
 import re
+from collections import Counter
 
 from lexmill.plans import catalogue
 
@@ -16,7 +17,7 @@ def sql_rows(name):
     import duckdb
 
     db = duckdb.connect()
-    for table in ("events", "customer", "orders", "supplier"):
+    for table in ("events", "customer", "orders", "supplier", "documents"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     return sorted(db.execute(catalogue.ORACLES[name]).fetchall(), key=repr)
 
@@ -36,3 +37,18 @@ def test_latest_observations_of_every_call_in_chunk_order(spark):
     got = rows_of(catalogue.latest_observations_whole(spark, DATA))
     assert got == sorted(want, key=repr) == sql_rows("latest_observations_whole")
     assert any(r[3] % 5 for r in got)
+
+
+def test_top_failures_of_all_rules(spark):
+    said = Counter(dict(sql_rows("top_failures")))
+    for _, sentences, fragments in sql_rows("repeated_content"):
+        said["Section contains repeated long sentences/paragraphs."] += sentences
+        said["Section contains repeated sentence fragments."] += fragments
+    texts = [r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    said["Section still contains hidden reasoning markup."] += sum("<think>" in t.lower() for t in texts)
+    said["Section is empty."] += sum(not t.strip() for t in texts)
+    said["Section contains an incomplete date range ('between ... and ...')."] += sum(bool(re.search(r"(?i)\bbetween\s+and\b", t)) for t in texts)
+    want = sorted(((i, n) for i, n in said.items() if n), key=lambda x: (-x[1], x[0]))[:8]
+    got = [tuple(r) for r in catalogue.top_failures_whole(spark, DATA).collect()]
+    assert got == want
+    assert {"Section contains repeated long sentences/paragraphs.", "Section contains repeated sentence fragments."} & {i for i, _ in got}
