@@ -515,6 +515,14 @@ def name_variants(spark, sf_dir):
     return c.select("c_custkey", F.array_join(F.slice(names.nicknames(F.col("c_mktsegment")), 1, 1), "|").alias("nick"))
 
 
+@query("""WITH v AS (SELECT c_custkey, c_mktsegment AS x, length(c_mktsegment) AS n FROM customer),
+l AS (SELECT c_custkey, CASE WHEN n > 4 THEN list_filter([left(x, 4), CASE WHEN n > 5 THEN left(x, 5) END, left(x, 3), CASE WHEN n > 5 AND regexp_matches(x, '(?:as|os|us)$') THEN left(x, n - 2) END, CASE WHEN n > 6 AND ends_with(x, 'olas') THEN left(x, n - 4) END], lambda y: y IS NOT NULL) ELSE [] END AS v FROM v)
+SELECT c_custkey, array_to_string(list_filter(v, lambda y, i: list_position(v, y) = i), '|') AS nick FROM l""")
+def name_variants_whole(spark, sf_dir):
+    """All variants of each name; ``name_variants`` holds the first of each, as its SQL does."""
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(names.nicknames(F.col("c_mktsegment")), "|").alias("nick"))
+
+
 # -- listings and model output -----------------------------------------------------------------------------------------
 
 

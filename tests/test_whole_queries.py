@@ -52,3 +52,28 @@ def test_top_failures_of_all_rules(spark):
     got = [tuple(r) for r in catalogue.top_failures_whole(spark, DATA).collect()]
     assert got == want
     assert {"Section contains repeated long sentences/paragraphs.", "Section contains repeated sentence fragments."} & {i for i, _ in got}
+
+
+def plain_variants(name):
+    if len(name) <= 4:
+        return []
+    found = [name[:k] for k in (4, 5, 3) if len(name) > k]
+    if len(name) > 5 and re.search("(?:as|os|us)$", name):
+        found.append(name[:-2])
+    if len(name) > 6 and name.endswith("olas"):
+        found.append(name[:-4])
+    return list(dict.fromkeys(found))
+
+
+def test_name_variants_has_every_prefix_and_ending(spark, tmp_path):
+    rows = [(r.c_custkey, "|".join(plain_variants(r.c_mktsegment))) for r in spark.read.parquet(f"{DATA}/customer.parquet").collect()]
+    assert rows_of(catalogue.name_variants_whole(spark, DATA)) == sorted(rows, key=repr) == sql_rows("name_variants_whole")
+    assert any(len(nick.split("|")) == 3 for _, nick in rows)
+    odd = ["Nikolas", "Nicholas", "Markos", "Petrus", "Titus", "Anna", "", "Lucas", "olas", "Tholas"]
+    spark.createDataFrame(list(enumerate(odd)), "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    want = sorted(((i, "|".join(plain_variants(x))) for i, x in enumerate(odd)), key=repr)
+    import duckdb
+
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert rows_of(catalogue.name_variants_whole(spark, tmp_path)) == want == sorted(db.execute(catalogue.ORACLES["name_variants_whole"]).fetchall(), key=repr)
