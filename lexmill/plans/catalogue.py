@@ -152,7 +152,8 @@ meta AS (SELECT printf('en_case_%05d', o_orderkey // 20) AS doc_id, 'CPS/2024/'
     CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%-d %B %Y') END AS offence_start FROM orders WHERE o_orderkey % 20 = 0)"""
 
 
-def _case_tables(spark, sf_dir):
+def _case_tables(spark, sf_dir, whole=False):
+    """Persons, organisations, metadata, counts and amounts of cases; ``whole`` derives the last two from every order."""
     doc = lambda key: F.format_string("en_case_%05d", F.floor(F.col(key) / 20))
     c, s, o = (table(spark, sf_dir, n) for n in ("customer", "supplier", "orders"))
     day = lambda d: F.date_format(d, "d MMMM yyyy")
@@ -160,8 +161,8 @@ def _case_tables(spark, sf_dir):
     orgs = s.select(doc("s_suppkey").alias("doc_id"), (F.col("s_suppkey") % 20).alias("ord"), F.when(F.col("s_suppkey") % 3 == 0, "charged").otherwise("associated").alias("grp"), F.concat(F.upper(F.replace(F.col("s_name"), F.lit("#"), F.lit(" "))), F.lit(" LTD")).alias("name"), F.concat(F.col("s_suppkey").cast("string"), F.lit(" Market Square, Leeds")).alias("address"), generate.vat_number(F.lit("GB"), F.col("s_suppkey") * 7919).alias("vat"))
     key = F.col("o_orderkey")
     meta = o.where(key % 20 == 0).select(doc("o_orderkey").alias("doc_id"), F.concat(F.lit("CPS/2024/"), F.lpad((key % 10000).cast("string"), 4, "0")).alias("case_number"), F.concat(F.lit("C/2024/"), (key % 977).cast("string")).alias("cross_ref"), day(F.col("o_orderdate")).alias("filing_date"), F.when(key % 3 == 0, day(F.col("o_orderdate"))).alias("offence_start"), F.lit(None).cast("string").alias("offence_end"))
-    counts = o.where(key % 20 < 3).select(doc("o_orderkey").alias("doc_id"), (key % 20).alias("ord"), F.concat(F.lit("took £"), F.format_number(F.floor("o_totalprice"), 0), F.lit(" and EUR 10,000 at "), "o_orderpriority").alias("particulars"))
-    amounts = o.where(key % 20 == 5).select(doc("o_orderkey").alias("doc_id"), (key % 20).alias("ord"), F.lit("EUR 10,000").alias("value"))
+    counts = o.where(F.lit(whole) | (key % 20 < 3)).select(doc("o_orderkey").alias("doc_id"), (key % 20).alias("ord"), F.concat(F.lit("took £"), F.format_number(F.floor("o_totalprice"), 0), F.lit(" and EUR 10,000 at "), "o_orderpriority").alias("particulars"))
+    amounts = o.where(F.lit(whole) | (key % 20 == 5)).select(doc("o_orderkey").alias("doc_id"), (key % 20).alias("ord"), F.lit("EUR 10,000").alias("value"))
     return persons, orgs, meta, counts, amounts
 
 
@@ -187,6 +188,12 @@ def groundtruth_union(spark, sf_dir):
     return groundtruth.build(*_case_tables(spark, sf_dir)).select("doc_id", "entity_text", "label", "notes", "should_propose")
 
 
+@query(ORACLES["groundtruth_union"].replace(" WHERE o_orderkey % 20 < 3)", ")").replace(" WHERE o_orderkey % 20 = 5)", ")"))
+def groundtruth_union_whole(spark, sf_dir):
+    """Counts and amounts of every order of a case."""
+    return groundtruth.build(*_case_tables(spark, sf_dir, whole=True)).select("doc_id", "entity_text", "label", "notes", "should_propose")
+
+
 @query(f"""WITH {_CASE}, f AS (
   SELECT doc_id, 'person_form' AS kind, name AS value FROM persons UNION SELECT doc_id, 'titled', title_surname FROM persons
   UNION SELECT doc_id, 'initials', rtrim(array_to_string(list_transform(string_split(name, ' '), lambda w: upper(left(w, 1))), '.'), '.') FROM persons
@@ -199,6 +206,13 @@ def allowed_facts(spark, sf_dir):
     return groundtruth.allowed_facts(persons, orgs, meta, amounts).groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("value").alias("distinct_values"))
 
 
+@query(ORACLES["allowed_facts"].replace(" WHERE o_orderkey % 20 = 5)", ")"))
+def allowed_facts_whole(spark, sf_dir):
+    """Amounts of every order of a case."""
+    persons, orgs, meta, _, amounts = _case_tables(spark, sf_dir, whole=True)
+    return groundtruth.allowed_facts(persons, orgs, meta, amounts).groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("value").alias("distinct_values"))
+
+
 @query(f"""WITH {derived.DOCUMENTS},
 found AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '\\b\\d{{1,2}} (?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{{4}}\\b')) AS value FROM docs)
 SELECT doc_id, value FROM found EXCEPT SELECT doc_id, text FROM surf WHERE label = 'DATE' AND okey % 3 = 0""")
@@ -541,6 +555,13 @@ def candidate_listing(spark, sf_dir):
     return listing.ordered_candidates(ids)
 
 
+@query(f"""WITH {derived.DOCUMENTS}, u AS (SELECT doc_id, 0 AS r FROM docs UNION ALL SELECT doc_id, 1 FROM gt UNION ALL SELECT doc_id, 2 FROM pred)
+SELECT doc_id, max(r = 0) AS in_0, max(r = 1) AS in_1, max(r = 2) AS in_2, regexp_extract(doc_id, '_(\\d+)$', 1)::INTEGER AS counter FROM u GROUP BY doc_id""")
+def candidate_listing_whole(spark, sf_dir):
+    """All ids of the three roots; ``candidate_listing`` holds parts of two, as its SQL does."""
+    return listing.ordered_candidates(listing.union_of_ids(derived.documents(spark, sf_dir), derived.groundtruth(spark, sf_dir), derived.predictions(spark, sf_dir)))
+
+
 def _reviews(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     number = lambda c: c.cast("string")
