@@ -27,14 +27,15 @@ class Recent(dict):
         Recent.every = [r for r in Recent.every if r() is not None] + [weakref.ref(self)]
 
     def __missing__(self, key):
-        found = self.old.pop(key, None)
-        if found is None:
-            found = self.make(key)
+        found = self.old.get(key)
+        return self.add(key, self.make(key) if found is None else found)
+
+    def add(self, key, value):
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
-        self[key] = found
-        return found
+        self[key] = value
+        return value
 
 
 def _give_back() -> None:

@@ -144,8 +144,27 @@ ODD_TEXTS = ["", " \n", "Don't I'LL 'sx ''s", "ΣΑΣ ς İstanbul", "a\u0301 e\
 
 def test_chunk_tokenizer_equals_library(library):
     mine = best_fit_packing.tokenizer(queries.vocabulary_path())
-    for text in ODD_TEXTS:
-        assert memoryview(mine(text)).cast("I").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    ids, edges = mine.encode([*ODD_TEXTS, None], b"\0\0\0\0")
+    for i, text in enumerate([*ODD_TEXTS, ""]):
+        assert ids[edges[i] : edges[i + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 0], text
+
+
+def test_chunk_tokenizer_equals_library_on_every_code_point(library):
+    mine = best_fit_packing.tokenizer(queries.vocabulary_path())
+    texts = [f"ab{chr(c)}1 {chr(c)}s" for c in range(0x3400) if not 0xD800 <= c < 0xE000]
+    ids, edges = mine.encode(texts)
+    for i, found in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+        assert ids[edges[i] : edges[i + 1]].tolist() == found.ids, hex(i)
+
+
+def test_a_vocabulary_with_another_pre_tokenizer_is_left_to_the_library():
+    import public_tokenizers
+
+    mine = best_fit_packing.tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["Hello  World,\n it's ok", "", "é 日本"]
+    ids, edges = mine.encode(texts)
+    assert not mine.known_plan
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [mine.whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @settings(max_examples=300, deadline=None)
@@ -154,7 +173,7 @@ def test_chunk_tokenizer_equals_library_on_any_text(text):
     from tokenizers import Tokenizer
 
     mine = best_fit_packing.tokenizer(queries.vocabulary_path())
-    assert memoryview(mine(text)).cast("I").tolist() == mine.whole.encode(text, add_special_tokens=False).ids
+    assert mine.encode([text])[0].tolist() == mine.whole.encode(text, add_special_tokens=False).ids
 
 
 @given(st.lists(st.integers(1, 20), max_size=200), st.integers(1, 6))
