@@ -81,10 +81,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
-    Only where the session names none (tests on one machine) a temporary folder is made and set.
+    Where the session names none, a temporary folder is made and set if all of Spark runs on this machine, as in tests;
+    on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -97,7 +100,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/lexmill-{uuid.uuid4().hex}"
         self.count = 0
-        self.paths: dict[int, str] = {}
+        self.kept: list[DataFrame] = []
 
     def keep(self, frame: DataFrame) -> DataFrame:
         """Write ``frame`` and return it as read back, with a lineage of one scan."""
@@ -106,7 +109,7 @@ class Scratch:
         schema = frame.schema
         frame.write.parquet(path)
         back = self.spark.read.schema(schema).parquet(path)
-        self.paths[id(back)] = path
+        self.kept.append(back)
         back._lexmill_path = path
         return back
 
@@ -115,6 +118,11 @@ class Scratch:
         for frame in frames:
             path = jvm.org.apache.hadoop.fs.Path(frame._lexmill_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.kept = [k for k in self.kept if k is not frame]
+
+    def drop_others(self, *needed: DataFrame) -> None:
+        """Remove all tables but those ``needed``."""
+        self.drop(*[k for k in self.kept if not any(k is n for n in needed)])
 
 
 def fold_of(column: str, parts: int):

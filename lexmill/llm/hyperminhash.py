@@ -1,24 +1,28 @@
 """Near-duplicate classes by HyperMinHash registers.
 
-Every document's set of word shingles is summarised by ``bands * rows`` registers. A register is the smallest value of
-one hash function over the set, kept as its number of leading zeros and ten mantissa bits behind the leading one. (The
-buckets of a single hash would stay empty for short documents, so each register has a hash of its own.) Then:
-
-1. Documents with the same set, told by a 128-bit hash of it, form a class; its smallest id stands for it.
-2. Representatives that agree on all registers of a band meet in a bucket. A bucket never gives all its pairs: each
-   member is paired with the bucket's smallest id only.
+Every document's set of word shingles is summarised by ``bands * rows`` registers. The hash space is cut into as many
+buckets; a bucket's register is the number of leading zeros and ten mantissa bits of the smallest hash that falls into
+it. Buckets that stay empty borrow the register of another one, the first filled one in an order of their own, so
+that two sets agree on a register with the probability of their Jaccard similarity, however small they are. Then:
+
+1. Documents with the same set, told by a 128-bit hash of it, form a class. A class is known by the number of its first
+   row, not by an id, so that rows of one id may have different texts.
+2. Classes that agree on all registers of a band meet there. Each is paired with the band's first class only.
 3. A pair whose Jaccard estimate, corrected for chance collisions of registers, lies within five standard errors of
    the threshold is verified on the full sets. Verified links are joined to components.
-4. Buckets that still hold several components are finished exactly: members outside the component of the bucket's
-   smallest id meet all members of other components. In buckets of up to ``large_bucket`` members these pairs pass the
-   same estimate and verification; in larger ones the exact check is the condition of the join, so that a large group
-   gives its links and not its pairs.
+4. What is left are pairs of different components in bands of three and more. They are found exactly, whatever the size
+   of the band: two sets of the similarity share one of their rarest shingles (as many as they may miss, and one more).
+   Classes of one component are never compared, and a pair is looked at where it shares its rarest shingle, if what can
+   follow it still reaches the similarity. Shingles that many classes have are dealt to several tasks. The pairs found
+   take the way of step 3.
 
-With five rows and forty bands a pair at the threshold of 0.75 is missed with a probability of 2e-5, and less above.
+With five rows and fifty bands a pair at the threshold of 0.75 is missed with a probability of about 2e-5 (simulated
+for unions of 4 to 4000 shingles), and less above.
 
 Defined results: null or blank texts have an empty set and are linked with nothing; rows with the same set are linked;
 ties do not arise (components have the smallest id); a row without an id has no component and is kept; columns other
-than id and text are ignored; no rows give no rows. Links, components and sets never reach the driver.
+than id and text are ignored; no rows give no rows. Links, components and sets never reach the driver. What is written
+to the shared folder is removed, but for the result.
 """
 
 from __future__ import annotations
@@ -39,10 +43,6 @@ MANTISSA = 10
 _CHANCE = 0.169919487159739 / (1 << MANTISSA)
 
 
-def multipliers(count: int, seed: int = 2016) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 32, count, dtype=np.uint32) | np.uint32(1)
-
-
 def compress(smallest: np.ndarray) -> np.ndarray:
     """16-bit registers of 32-bit minima: leading zeros above, mantissa bits below."""
     value = smallest.astype(np.uint64)
@@ -52,13 +52,26 @@ def compress(smallest: np.ndarray) -> np.ndarray:
     return ((zeros << np.uint64(MANTISSA)) | (aligned >> np.uint64(32 - MANTISSA))).astype(np.uint16)
 
 
-def registers(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """One register for each factor over the 64-bit hashes of a set that isn't empty."""
-    low = (hashes >> np.uint64(32)).astype(np.uint32)
-    smallest = np.full(len(factors), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(low), 2048):
-        np.minimum(smallest, (factors[:, None] * low[None, at : at + 2048]).min(axis=1), out=smallest)
-    return compress(smallest)
+class Buckets:
+    """``count`` equal parts of the 64-bit hash space, and for each the order in which it borrows from the others."""
+
+    def __init__(self, count: int, seed: int = 2016):
+        self.count = count
+        self.edges = np.array([i * (1 << 64) // count for i in range(count)], np.uint64)
+        self.rank = np.argsort(np.random.default_rng(seed).random((count, count)), axis=1).astype(np.int16)
+
+    def registers(self, hashes: np.ndarray) -> np.ndarray:
+        """A register for each bucket, of the sorted hashes of a set that isn't empty."""
+        at = np.append(np.searchsorted(hashes, self.edges), len(hashes))
+        full = at[1:] > at[:-1]
+        filled = np.flatnonzero(full)
+        inside = (hashes[at[filled]] - self.edges[filled]) >> np.uint64(32)
+        found = np.empty(self.count, np.uint16)
+        found[filled] = compress(np.minimum(inside * np.uint64(self.count), np.uint64(0xFFFFFFFF)))
+        if len(filled) < self.count:
+            empty = np.flatnonzero(~full)
+            found[empty] = found[filled[self.rank[np.ix_(empty, filled)].argmin(axis=1)]]
+        return found
 
 
 def estimate(equal_share: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
@@ -68,39 +81,24 @@ def estimate(equal_share: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray)
     return np.maximum(0.0, (equal_share - chance) / (1 - chance))
 
 
-def sketch(documents: DataFrame, rows: int, bands: int, size: int, id_column: str, text_column: str) -> DataFrame:
-    """doc_id, n_shingles, set_hash, registers and band keys (null for an empty set) of every row."""
+def sketch(documents: DataFrame, count: int, size: int, id_column: str, text_column: str) -> DataFrame:
+    """doc_id, n_shingles, set_hash and registers (null for an empty set) of every row."""
     kind = documents.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = multipliers(rows * bands)
-        weights = np.random.default_rng(7).integers(0, 1 << 63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        salts = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
+        buckets = Buckets(count)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                sizes, names, regs, keys = [], [], [], []
+                sizes, names, regs = [], [], []
                 for text in batch.column(1).to_pylist():
                     hashes = shingle_set(text, size)
                     sizes.append(len(hashes))
-                    if not len(hashes):
-                        names.append(None)
-                        regs.append(None)
-                        keys.append(None)
-                        continue
-                    names.append(xxhash.xxh3_128_digest(hashes.tobytes()))
-                    found = registers(hashes, factors)
-                    regs.append(found.tobytes())
-                    key = (found.reshape(bands, rows).astype(np.uint64) + np.uint64(1)) * weights
-                    key = key.sum(axis=1, dtype=np.uint64) ^ salts
-                    key = (key ^ (key >> np.uint64(31))) * np.uint64(0xE7037ED1A0B428DB)
-                    keys.append((key ^ (key >> np.uint64(33))).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_hash", "registers", "bands"],
-                )
-
-    return documents.select(F.col(id_column), F.col(text_column)).mapInArrow(worker("shingles", run), f"doc_id {kind}, n_shingles bigint, set_hash binary, registers binary, bands array<bigint>")
+                    names.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
+                    regs.append(buckets.registers(hashes).tobytes() if len(hashes) else None)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(regs, pa.binary())], names=["doc_id", "n_shingles", "set_hash", "registers"])
+
+    return documents.select(F.col(id_column), F.col(text_column)).mapInArrow(worker("shingles", run), f"doc_id {kind}, n_shingles bigint, set_hash binary, registers binary")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -113,8 +111,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = scratch.keep(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = scratch.keep(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        small = large.join(low, "u").where("v <> m").select(F.col("m").alias("v"), F.col("v").alias("u"))
+        new = scratch.keep(small.unionByName(low.select(F.col("m").alias("v"), "u")).distinct())
         state = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         scratch.drop(edges, large)
         edges = new
@@ -122,118 +120,140 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             break
         before = state
     roots = edges.select(F.col("v").alias("u"), "v").distinct()
-    return edges.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
-
-
-def _among(rows: DataFrame, column: str, ids: DataFrame, most_broadcast: int) -> DataFrame:
-    """Rows whose id is in ``ids`` (column node); the ids are broadcast only if there are few of them."""
-    side = F.broadcast(ids) if ids.count() <= most_broadcast else ids
-    return rows.join(side, rows[column] == side["node"], "left_semi")
-
-
-def _likely(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose estimate does not lie five standard errors below the threshold."""
-    side = lambda s: sketches.select(F.col("doc_id").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("registers").alias(f"r{s}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(f"least(na, nb) >= {threshold} * greatest(na, nb)").select("a", "b", "na", "nb", "ra", "rb")
-    kind = pairs.schema["a"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in (4, 5))
-            j = estimate((x == y).mean(axis=1), batch.column(2).to_numpy().astype(float), batch.column(3).to_numpy().astype(float))
-            keep = j >= threshold - 5 * (threshold * (1 - threshold) / x.shape[1]) ** 0.5
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
-
-    return joined.mapInArrow(worker("shingles", run), f"a {kind}, b {kind}")
-
-
-def _sets_of(nodes: DataFrame, documents: DataFrame, size: int, id_column: str, text_column: str, most_broadcast: int) -> DataFrame:
-    """(node, s): the shingle sets of the listed documents, read again from their texts."""
-    texts = _among(documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), "doc_id", nodes, most_broadcast)
-    kind = documents.schema[id_column].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                sets = [shingle_set(t, size).view(np.int64) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "s"])
-
-    return texts.mapInArrow(worker("shingles", run), f"node {kind}, s array<bigint>")
-
-
-def _verified(pairs: DataFrame, sets_of, threshold: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= ``threshold`` * union."""
-    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-    return joined.where(_reaches("sa", "sb", threshold)).select("a", "b").distinct()
-
-
-def _reaches(x: str, y: str, threshold: int):
-    """100 * shared >= threshold * (|x| + |y| - shared), with the intersection taken once."""
-    return (100 + threshold) * F.size(F.array_intersect(x, y)) >= threshold * (F.size(x) + F.size(y))
-
-
-def _linked_in_large(rest: DataFrame, reps: DataFrame, sets_of, threshold: int) -> DataFrame:
-    """Links between components in large buckets. The exact check is part of the join, so only links leave it.
-
-    A pair is checked in the first band it shares, and only if the sizes of its sets allow the similarity.
-    """
-    sets = sets_of(rest.select("node").distinct())
-    bands = reps.select(F.col("doc_id").alias("node"), "bands")
-    rows = rest.join(sets, "node").join(bands, "node").withColumn("earlier", F.slice("bands", F.lit(1), F.array_position("bands", F.col("band")).cast("int") - 1)).drop("bands")
-    x = rows.where("component <> main").select("band", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "earlier", "s")])
-    y = rows.select("band", (F.col("component") == F.col("main")).alias("inside"), *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "earlier", "s")])
-    small, large = F.least(F.size("x_s"), F.size("y_s")), F.greatest(F.size("x_s"), F.size("y_s"))
-    once = F.col("inside") | (F.col("x_node") < F.col("y_node"))
-    here = (x["band"] == y["band"]) & (F.col("x_component") != F.col("y_component")) & once & (100 * small >= threshold * large) & ~F.arrays_overlap("x_earlier", "y_earlier") & _reaches("x_s", "y_s", threshold)
-    return x.join(y, here).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-
-
-def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, rows: int = 5, bands: int = 40, id_column: str = "doc_id", text_column: str = "text", most_broadcast: int = 1_000_000, large_bucket: int = 64) -> DataFrame:
+    found = scratch.keep(edges.select("u", "v").unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component")))
+    scratch.drop(edges)
+    return found
+
+
+class _Pairs:
+    """Estimates and verifies pairs (a, b) of classes."""
+
+    def __init__(self, documents: DataFrame, classes: DataFrame, scratch: Scratch, threshold: int, size: int, id_column: str, text_column: str, most_broadcast: int):
+        self.documents = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+        self.classes, self.scratch, self.threshold, self.size, self.most_broadcast = classes, scratch, threshold, size, most_broadcast
+
+    def small(self, side: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(side) if rows <= self.most_broadcast else side
+
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, s): the shingle sets of the listed classes, read again from the texts of their first rows."""
+        wanted = self.scratch.keep(self.classes.join(self.small(nodes, nodes.count()), "node", "left_semi").select("node", "doc_id", "set_hash"))
+        rows, size = wanted.count(), self.size
+        texts = self.documents.join(self.small(wanted.select("doc_id").distinct(), rows), "doc_id", "left_semi").select("text")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 256):
+                    sets = [shingle_set(t, size) for t in whole.slice(at, 256).column(0).to_pylist()]
+                    names = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+                    yield pa.RecordBatch.from_arrays([names, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["set_hash", "s"])
+
+        sets = texts.mapInArrow(worker("shingles", run), "set_hash binary, s array<bigint>")
+        return sets.join(self.small(wanted.select("node", "set_hash"), rows), "set_hash").dropDuplicates(["node"]).select("node", "s")
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose estimate does not lie five standard errors below the threshold.
+
+        A set of fewer shingles than registers gives no more independent ones than it has shingles.
+        """
+        threshold = self.threshold / 100
+        side = lambda s: self.classes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("registers").alias(f"r{s}"))
+        joined = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(na, nb) >= {self.threshold} * greatest(na, nb)").select("a", "b", "na", "nb", "ra", "rb")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in (4, 5))
+                na, nb = (batch.column(c).to_numpy().astype(float) for c in (2, 3))
+                error = (threshold * (1 - threshold) / np.minimum(x.shape[1], np.minimum(na, nb))) ** 0.5
+                keep = estimate((x == y).mean(axis=1), na, nb) >= threshold - 5 * error
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+
+        return joined.mapInArrow(worker("shingles", run), "a bigint, b bigint")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Likely pairs whose full sets have 100 * intersection >= ``threshold`` * union, written."""
+        likely = self.scratch.keep(self.likely(pairs))
+        sets = self.sets_of(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        joined = likely.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+        shared = F.size(F.array_intersect("sa", "sb"))
+        links = self.scratch.keep(joined.where((100 + self.threshold) * shared >= self.threshold * (F.size("sa") + F.size("sb"))).select("a", "b"))
+        self.scratch.drop(likely)
+        return links
+
+    def across(self, labelled: DataFrame, most_alone: int) -> DataFrame:
+        """Pairs of classes (node, component) of different components that may have the similarity: none is left out.
+
+        A shingle of more than ``most_alone`` classes is dealt to several tasks.
+        """
+        tokens = self.sets_of(labelled.select("node")).select("node", F.size("s").alias("n"), F.explode("s").alias("token"))
+        tokens = self.scratch.keep(tokens)
+        counts = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+        # a set's shingles in the order of rarity; those that no other set has come first, and need not be listed
+        sets = tokens.join(counts, "token").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common"))
+        alone = F.col("n") - F.size("common")
+        length = F.floor(F.col("n") * (100 - self.threshold) / 100).cast("int") + 1 - alone  # a link keeps threshold % of each set
+        prefix = sets.where(length > 0).select("node", "n", F.posexplode(F.slice("common", F.lit(1), length)).alias("at", "t"), alone.alias("alone"))
+        prefix = prefix.select("node", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"), "t.df", "t.token").join(labelled, "node")
+        prefix = self.scratch.keep(prefix)
+        # of one shingle's classes, those of the most frequent component are compared with the others only
+        sizes = prefix.groupBy("token", "component").agg(F.count("*").alias("size"))
+        mains = sizes.groupBy("token").agg(F.count("*").alias("several"), F.max_by("component", "size").alias("main")).where("several > 1").select("token", "main")
+        mixed = prefix.join(mains, "token").withColumn("parts", F.ceil(F.col("df") / most_alone).cast("int"))
+        x = mixed.where("component <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        x = x.select("token", "part", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "left")])
+        y = mixed.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("token", "part", (F.col("component") == F.col("main")).alias("inside"), *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "n", "left")])
+        reaches = (100 + self.threshold) * F.least("x_left", "y_left") >= self.threshold * (F.col("x_n") + F.col("y_n"))
+        here = (x["token"] == y["token"]) & (x["part"] == y["part"]) & (F.col("x_component") != F.col("y_component")) & (F.col("inside") | (F.col("x_node") < F.col("y_node"))) & reaches
+        pairs = x.join(y, here).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+        pairs = self.scratch.keep(pairs)
+        self.scratch.drop(tokens, prefix)
+        return pairs
+
+
+def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, rows: int = 5, bands: int = 50, id_column: str = "doc_id", text_column: str = "text", most_broadcast: int = 1_000_000, most_alone: int = 1000) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row. ``threshold`` is the Jaccard similarity in hundredths."""
     small_batches(documents.sparkSession)
     scratch = Scratch(documents.sparkSession)
-    sets_of = lambda nodes: _sets_of(nodes, documents, size, id_column, text_column, most_broadcast)
-    sketches = scratch.keep(sketch(documents, rows, bands, size, id_column, text_column))
-    classes = sketches.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    reps = classes.groupBy("rep").agg(F.min("set_hash").alias("set_hash"))
-    reps = sketches.alias("s").join(reps.alias("r"), (F.col("s.doc_id") == F.col("r.rep")) & (F.col("s.set_hash") == F.col("r.set_hash")), "left_semi").dropDuplicates(["doc_id"])
-    reps = scratch.keep(reps.select("doc_id", "n_shingles", "registers", "bands"))
-
-    members = reps.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("other")).where("centre <> other").select("band", "centre")
-    # members of buckets of two and more; the rest are never looked at again
-    shared = scratch.keep(members.join(buckets, "band"))
-    share = threshold / 100
-    stars = shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    likely = scratch.keep(_likely(stars, reps, share))
-    links = scratch.keep(_verified(likely, sets_of, threshold))
-    scratch.drop(likely)
+    found_rows = scratch.keep(sketch(documents, rows * bands, size, id_column, text_column).withColumn("node", F.monotonically_increasing_id()))
+    firsts = found_rows.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("node").alias("node"), F.min("doc_id").alias("smallest"))
+    classes = scratch.keep(found_rows.join(firsts.select("node", "smallest"), "node").select("node", "doc_id", "smallest", "n_shingles", "set_hash", "registers"))
+    table = scratch.keep(found_rows.select("doc_id", "n_shingles", "set_hash"))
+    scratch.drop(found_rows)
+    pairs = _Pairs(documents, classes, scratch, threshold, size, id_column, text_column, most_broadcast)
+
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.substring(F.col("registers"), b * (2 * rows) + 1, F.lit(2 * rows))))
+    members = classes.select("node", F.explode(keys).alias("band"))
+    met = members.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("members")).where("members > 1")
+    # members of bands of two and more; the rest are never looked at again
+    shared = scratch.keep(members.join(met, "band"))
+    links = pairs.verified(shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
     found = components(links, scratch)
-
-    # buckets with several components
-    labelled = shared.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min_by("component", "node").alias("main"), F.count("*").alias("members")).where("c0 <> c1")
-    rest = scratch.keep(labelled.join(mixed.select("band", "main", "members"), "band"))
-    small = rest.where(F.col("members") <= large_bucket)
-    outside = small.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    cross = outside.join(small.select("band", F.col("node").alias("y"), F.col("component").alias("cy")), "band").where("cx <> cy")
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    likely = scratch.keep(_likely(cross, reps, share))
-    more = _verified(likely, sets_of, threshold)
-    large = rest.where(F.col("members") > large_bucket)
-    if large.take(1):
-        more = more.unionByName(_linked_in_large(large, reps, sets_of, threshold))
-    more = scratch.keep(more)
-    scratch.drop(likely, rest)
-    if more.take(1):
-        joined = links.select("a", "b").unionByName(more)
-        found = components(joined, scratch)
-
-    placed = classes.join(found, classes["rep"] == found["node"], "left").select("set_hash", F.coalesce("component", "rep").alias("c"))
-    out = sketches.select("doc_id", "n_shingles", "set_hash").join(placed, "set_hash", "left")
+    scratch.drop(links)
+
+    # bands of three and more with several components; a pair of two has been looked at
+    labelled = shared.where("members > 2").select("band", "node").join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+    labelled = scratch.keep(labelled)
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("band")
+    rest = scratch.keep(labelled.join(mixed, "band").select("node", "component").distinct())
+    scratch.drop(shared, labelled)
+    if rest.take(1):
+        candidates = pairs.across(rest, most_alone)
+        more = pairs.verified(candidates)
+        if more.take(1):
+            side = lambda s: rest.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
+            joined = components(more.join(side("a"), "a").join(side("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), scratch)
+            every = found.unionByName(joined.select("node", F.col("node").alias("component"))).distinct()
+            moved = every.join(joined.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+            found = scratch.keep(moved.select("node", F.coalesce("to", "component").alias("component")))
+        scratch.drop(candidates, more)
+
+    ids = classes.select("node", "set_hash", "smallest").join(found, "node", "left").select("set_hash", "smallest", F.coalesce("component", "node").alias("component"))
+    names = ids.groupBy("component").agg(F.min("smallest").alias("c"))
+    placed = ids.join(names, "component").select("set_hash", "c")
+    out = table.join(placed, "set_hash", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = scratch.keep(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    scratch.drop_others(out)
+    return out

@@ -79,7 +79,7 @@ def test_large_buckets_are_finished_exactly(spark):
         for at in rng.choice(60, int(rng.integers(0, 4)), replace=False):
             mine[at] = f"v{rng.integers(0, 99)}"
         rows.append((key, " ".join(mine)))
-    check(spark, rows, large_bucket=3)
+    check(spark, rows, most_alone=3)
 
 
 def test_edge_cases(spark):
@@ -95,6 +95,52 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert hyperminhash.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_a_repeated_id_with_different_texts_keeps_the_links_of_each(spark):
+    """Links go by the text of a row: both texts of an id lead to their near copies."""
+    rng, rows, want = np.random.default_rng(4), [], {}
+    for n in range(6):
+        a, b = ([f"w{x}" for x in rng.integers(0, 9999, 60)] for _ in range(2))
+        base = 100 * n
+        rows += [(base + 5, " ".join(a)), (base + 5, " ".join(b)), (base + 9, " ".join([*a, "x"])), (base + 8, " ".join([*b, "y"]))]
+        want |= {base + 5: [base + 5] * 2, base + 9: [base + 5], base + 8: [base + 5]}
+    got = defaultdict(list)
+    for r in hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id].append(r.component_id)
+        assert r.kept == (r.doc_id == r.component_id)
+    assert got == want
+
+
+def test_twenty_thousand_texts_in_one_band(spark):
+    """All share most of their words, so that bands and shingles are very frequent; only planted pairs are linked."""
+    rng = np.random.default_rng(11)
+    common = [f"c{x}" for x in range(60)]
+    rows = []
+    for key in range(20_000):
+        own = [f"o{x}" for x in rng.integers(0, 10**9, 30)]
+        rows.append((key, " ".join(common + own)))
+    for key in range(20_000, 20_050):
+        own = rows[key - 20_000][1].split()
+        own[int(rng.integers(60, 90))] = "z"
+        rows.append((key, " ".join(own)))
+    got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    # two texts share 56 of 116 shingles, a text and its copy 81 of 91 at least
+    assert {r.doc_id: r.component_id for r in got} == {k: k if k < 20_000 else k - 20_000 for k in range(20_050)}
+
+
+def test_links_in_a_band_that_its_first_text_has_no_part_in(spark):
+    """Texts near the threshold of one another: few are like the first of their band, more like each other."""
+    rng = np.random.default_rng(12)
+    base = [f"w{x}" for x in range(120)]
+    rows = []
+    for key in range(400):
+        mine = list(base)
+        at = int(rng.integers(0, 90))
+        mine[at : at + 24] = [f"v{at // 30}{x}" for x in range(24)]
+        mine[int(rng.integers(0, 120))] = f"z{key}"
+        rows.append((key, " ".join(mine)))
+    check(spark, rows, most_alone=50)
+
+
 def test_documents_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op3_hyperminhash(spark, DATA).collect()} == exact(rows)
@@ -112,10 +158,10 @@ def test_registers_keep_zeros_and_mantissa(values):
 
 def test_estimate_is_close():
     rng = np.random.default_rng(0)
-    factors = hyperminhash.multipliers(2000)
+    buckets = hyperminhash.Buckets(2000)
     for shared in (0, 300, 900):
-        a, b, c = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (1000 - shared, 1000 - shared, shared))
-        x, y = (hyperminhash.registers(np.concatenate((s, c)), factors) for s in (a, b))
+        a, b, c = (rng.integers(0, 2**64, n, dtype=np.uint64) for n in (1000 - shared, 1000 - shared, shared))
+        x, y = (buckets.registers(np.sort(np.concatenate((s, c)))) for s in (a, b))
         got = hyperminhash.estimate(np.array([(x == y).mean()]), np.array([1000.0]), np.array([1000.0]))[0]
         assert abs(got - shared / (2000 - shared)) < 0.05
 
