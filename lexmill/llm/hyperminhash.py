@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import Scratch, small_batches, worker
-from .shingles import shingle_set
+from .shingles import shingle_sets
 
 MANTISSA = 10
 #: Expected share of registers that agree by chance, for sets of one size, from the published analysis of the sketch.
@@ -88,11 +88,10 @@ def sketch(documents: DataFrame, count: int, size: int, id_column: str, text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets(count)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
                 sizes, names, regs = [], [], []
-                for text in batch.column(1).to_pylist():
-                    hashes = shingle_set(text, size)
+                for hashes in shingle_sets(batch.column(1), size):
                     sizes.append(len(hashes))
                     names.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
                     regs.append(buckets.registers(hashes).tobytes() if len(hashes) else None)
@@ -144,7 +143,7 @@ class _Pairs:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for at in range(0, whole.num_rows, 256):
-                    sets = [shingle_set(t, size) for t in whole.slice(at, 256).column(0).to_pylist()]
+                    sets = shingle_sets(whole.slice(at, 256).column(0), size)
                     names = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
                     yield pa.RecordBatch.from_arrays([names, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["set_hash", "s"])
 

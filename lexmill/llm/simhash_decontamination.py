@@ -5,10 +5,12 @@ don't hide a passage. For each benchmark item of n words, windows of n words of
 
 1. A window can only reach the similarity if that share of its shingles occurs in the benchmark. A bit map and a
    binary search over all shingles of the document leave the windows with enough such shingles; that loses none.
-2. Each of these windows gets a 64-bit SimHash of its shingles, weighted by how often they occur.
-3. Items of n words are indexed by ``radius + 1`` blocks of their SimHash. Two fingerprints within the radius differ in
-   at most ``radius`` bits and so agree on at least one block: the index finds all of them. (At a similarity of 0.75
-   eleven bits differ on average; the radius lies more than four standard deviations above.)
+2. Each of these windows gets a 128-bit SimHash of its shingles, weighted by how often they occur.
+3. Items of n words are indexed by the blocks of their SimHash. Two fingerprints within the radius lie, by the general
+   pigeonhole principle, within the block's own radius in at least one block, where the radii of the blocks add up to
+   the radius less the number of blocks but one: so none within the radius is lost. (At a similarity of 0.75
+   22 bits differ on average; the radius lies more than four standard deviations above. Two blocks of 64 bits let 0.3 %
+   of unlike pairs pass; blocks short enough to be looked up in a table would let most pass at this radius.)
 4. Candidates are verified by their exact weighted shingle similarity, the sum of smaller counts over the sum of larger
    counts. The best window for each item counts.
 
@@ -17,7 +19,8 @@ Items of fewer than five words have one shingle, the whole item. A document shor
 Defined results: null or wordless texts and items match nothing; repeated items and rows each count; ties go to the
 first window; columns pass through, and one named ``contamination`` is replaced. The benchmark is sent to executors
 in slices of at most ``most_items`` items and ``most_chars`` characters; a larger one takes several passes over the
-documents, none is cut.
+documents, none is cut. After ``most_held`` slices what was found is written to the shared folder, so that the driver
+never holds more of the benchmark than these.
 """
 
 from __future__ import annotations
@@ -27,16 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._shared import Recent, small_batches, worker
-from .shingles import shingle_hashes
+from ._shared import Scratch, small_batches, worker
+from .shingles import hashes_of_chunks, mix, shingle_hashes
 
 _DROP = re.compile(r"[\W_]+")
-BITS = 64
+BITS = 128
+#: Windows that are compared with one another item at once, and shingles whose running sums are held at once.
+_PAIRS, _SUMS = 1 << 20, 1 << 16
 
 
 def _token_hash(token: str) -> int:
@@ -45,23 +51,23 @@ def _token_hash(token: str) -> int:
     return xxhash.xxh3_64_intdigest(bare.encode("utf-8", "replace")) | 1 if bare else 0
 
 
-_tokens = Recent(_token_hash, "tokens")
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    tokens = (text or "").lower().split()
-    hashes = np.fromiter(map(_tokens.__getitem__, tokens), np.uint64, len(tokens))
-    return hashes[hashes != 0] if len(hashes) and not hashes.all() else hashes
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """Hashes of the words of each text."""
+    # what Arrow can't hold, a half of a surrogate pair, is no letter
+    plain = [t.lower() if t.isascii() else t.lower().encode("utf-8", "replace").decode() for t in (t or "" for t in texts)]
+    return hashes_of_chunks(pc.utf8_split_whitespace(pa.array(plain, pa.large_string())), _token_hash)
 
 
 def _signs(hashes: np.ndarray) -> np.ndarray:
     """Rows of -1 and 1, a column for each bit."""
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
+    both = np.stack((hashes, mix(hashes + np.uint64(0x9E3779B97F4A7C15))), axis=1)
+    bits = np.unpackbits(both.astype("<u8").view(np.uint8).reshape(-1, BITS // 8), axis=1)
     return bits.astype(np.int32) * 2 - 1
 
 
 def _fingerprints(sums: np.ndarray) -> np.ndarray:
-    return np.packbits(sums >= 0, axis=1).view("<u8").ravel()
+    """A row of 64-bit blocks for each row of sums."""
+    return np.packbits(sums >= 0, axis=1).view("<u8")
 
 
 def _weighted_similarity(window: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> float:
@@ -72,53 +78,66 @@ def _weighted_similarity(window: np.ndarray, item: tuple[np.ndarray, np.ndarray]
 
 
 class _SameLength:
-    """Items of one number of words: SimHashes and the blocks they have."""
+    """Items of one number of words and the blocks of their SimHashes."""
 
     def __init__(self, radius: int):
-        edges = np.linspace(0, BITS, radius + 2).astype(int)
-        self.offsets, self.sizes = edges[:-1], np.diff(edges)
+        blocks = BITS // 64
+        spare = radius - blocks + 1
+        self.radii = [spare // blocks + (b < spare % blocks) for b in range(blocks)]
         self.numbers: list[int] = []
-        self.prints: list[int] = []
+        self.prints: list[np.ndarray] = []
 
     def close(self) -> None:
-        self.fingerprints = np.array(self.prints, np.uint64)
-        values = self.blocks(self.fingerprints)
-        self.has = np.zeros((len(self.sizes), 1 << int(self.sizes.max()), len(self.prints)), bool)
-        for b in range(len(self.sizes)):
-            self.has[b, values[:, b], np.arange(len(self.prints))] = True
-
-    def blocks(self, prints: np.ndarray) -> np.ndarray:
-        masks = ((1 << self.sizes) - 1).astype(np.uint64)
-        return ((prints[:, None] >> self.offsets.astype(np.uint64)) & masks).astype(np.int64)
+        self.fingerprints = np.array(self.prints, np.uint64).reshape(-1, BITS // 64)
 
     def within(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, distance) of all pairs that agree on a block and lie within the radius."""
-        values = self.blocks(prints)
-        agree = np.zeros((len(prints), len(self.prints)), bool)
-        for b in range(len(self.sizes)):
-            agree |= self.has[b, values[:, b]]
-        who, which = np.nonzero(agree)
-        distance = np.bitwise_count(prints[who] ^ self.fingerprints[which])
-        keep = distance <= radius
-        return who[keep], which[keep], distance[keep]
+        """(window, item, distance) of all pairs within the radius: those near in some block, then by all bits."""
+        parts, step = [], max(1, _PAIRS // max(1, len(self.fingerprints)))
+        for at in range(0, len(prints), step):
+            some = prints[at : at + step]
+            near = np.zeros((len(some), len(self.fingerprints)), bool)
+            for b, most in enumerate(self.radii):
+                near |= np.bitwise_count(some[:, None, b] ^ self.fingerprints[None, :, b]) <= most
+            who, which = np.nonzero(near)
+            distance = np.bitwise_count(some[who] ^ self.fingerprints[which]).sum(axis=1, dtype=np.int64)
+            keep = distance <= radius
+            parts.append((who[keep] + at, which[keep], distance[keep]))
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, int),) * 3
+
+
+class _RunningSums:
+    """Fingerprints of windows of a run of shingles, from sums that are held for one stretch of it at a time."""
+
+    def __init__(self, shingles: np.ndarray):
+        self.shingles, self.first, self.sums = shingles, 0, np.zeros((0, BITS), np.int32)
+
+    def prints(self, starts: np.ndarray, size: int) -> np.ndarray:
+        found = []
+        for at in np.split(starts, np.flatnonzero(np.diff(starts // _SUMS)) + 1):
+            first, last = int(at[0]) // _SUMS * _SUMS, int(at[-1]) + size
+            if first != self.first or last >= first + len(self.sums):
+                stretch = self.shingles[first : max(last, first + _SUMS)]
+                self.first, self.sums = first, np.zeros((len(stretch) + 1, BITS), np.int32)
+                np.cumsum(_signs(stretch), axis=0, out=self.sums[1:])
+            found.append(_fingerprints(self.sums[at - first + size] - self.sums[at - first]))
+        return np.concatenate(found)
 
 
 class Index:
     """Finds the items of a benchmark in texts."""
 
-    def __init__(self, items: list[tuple[object, str | None]], threshold: float = 0.75, size: int = 5, radius: int = 24):
+    def __init__(self, items: list[tuple[object, str | None]], threshold: float = 0.75, size: int = 5, radius: int = 40):
         self.threshold, self.radius, self.items = threshold, radius, []
         self.runs: dict[int, dict[int, _SameLength]] = {}
         known: dict[int, list[np.ndarray]] = {}
-        for name, text in items:
-            words = word_hashes(text)
+        for (name, _), words in zip(items, word_hashes([text for _, text in items])):
             if not len(words):
                 continue
             run = min(size, len(words))
             shingles = shingle_hashes(words, run)
             group = self.runs.setdefault(run, {}).setdefault(len(words), _SameLength(radius))
             group.numbers.append(len(self.items))
-            group.prints.append(int(_fingerprints(_signs(shingles).sum(axis=0, keepdims=True))[0]))
+            group.prints.append(_fingerprints(_signs(shingles).sum(axis=0, keepdims=True))[0])
             known.setdefault(run, []).append(shingles)
             self.items.append((name, np.unique(shingles, return_counts=True)))
         self.known = {run: np.unique(np.concatenate(x)) for run, x in known.items()}
@@ -133,7 +152,11 @@ class Index:
 
     def find(self, text: str | None) -> list[tuple[object, int, int, float]]:
         """(item, first word, words, similarity) of the best window of each item found."""
-        words, best = word_hashes(text), {}
+        return self.find_in(word_hashes([text])[0])
+
+    def find_in(self, words: np.ndarray) -> list[tuple[object, int, int, float]]:
+        """``find`` in the text with these hashes of words."""
+        best: dict[int, tuple[int, int, float]] = {}
         for run, groups in self.runs.items():
             if len(words) < run:
                 continue
@@ -154,7 +177,7 @@ class Index:
             counts = np.zeros(high - low + 1, np.int64)
             counts[part - low + 1] = 1
             counts = np.cumsum(counts)
-            sums = None
+            sums: _RunningSums | None = None
             for words, group in groups.items():
                 full = words - run + 1
                 size = min(full, len(shingles))
@@ -165,10 +188,8 @@ class Index:
                 if not len(starts):
                     continue
                 if sums is None:
-                    sums = np.zeros((high - low + 1, BITS), np.int32)
-                    np.cumsum(_signs(shingles[low:high]), axis=0, out=sums[1:])
-                prints = _fingerprints(sums[starts + size] - sums[starts])
-                who, which, distance = group.within(prints, self.radius)
+                    sums = _RunningSums(shingles[low:high])
+                who, which, distance = group.within(sums.prints(starts, size), self.radius)
                 for k in np.argsort(distance, kind="stable"):
                     number, start = group.numbers[which[k]], low + int(starts[who[k]])
                     had = best.get(number, (0, 0, -1.0))
@@ -192,14 +213,20 @@ def _slices(benchmark: DataFrame, item_column: str, text_column: str, most_items
         yield part
 
 
-def mark(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.75, size: int = 5, radius: int = 24, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", most_items: int = 50_000, most_chars: int = 30_000_000, block: int = 1024) -> DataFrame:
+def mark(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.75, size: int = 5, radius: int = 40, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", most_items: int = 50_000, most_chars: int = 30_000_000, most_held: int = 4, block: int = 1024) -> DataFrame:
     """``documents`` with the column contamination: an array of (item, start, words, similarity), empty if clean."""
     small_batches(documents.sparkSession)
     kind = benchmark.schema[item_column].dataType.simpleString()
     array = f"array<struct<item: {kind}, start: bigint, words: bigint, similarity: double>>"
     out = documents.drop("contamination").withColumn("contamination", F.array().cast(array))
     schema = StructType(out.schema.fields)
-    for part in _slices(benchmark, item_column, item_text_column, most_items, most_chars):
+    scratch, before = Scratch(documents.sparkSession), None
+    for number, part in enumerate(_slices(benchmark, item_column, item_text_column, most_items, most_chars)):
+        if number and number % most_held == 0:
+            written = scratch.keep(out)
+            if before is not None:
+                scratch.drop(before)
+            out = before = written
 
         def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
             from pyspark.sql.pandas.types import to_arrow_schema
@@ -209,7 +236,7 @@ def mark(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.75, si
             for whole in batches:
                 for at in range(0, whole.num_rows, block):
                     batch = whole.slice(at, block)
-                    found = [index.find(t) for t in batch.column(at_text).to_pylist()]
+                    found = [index.find_in(words) for words in word_hashes(batch.column(at_text).to_pylist())]
                     had = batch.column(batch.num_columns - 1).to_pylist()
                     both = pa.array([h + [dict(zip(("item", "start", "words", "similarity"), f)) for f in fs] for h, fs in zip(had, found)], arrow[-1].type)
                     yield pa.RecordBatch.from_arrays([*batch.columns[:-1], both], names=schema.names)

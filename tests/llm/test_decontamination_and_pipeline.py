@@ -66,18 +66,65 @@ def test_case_and_punctuation_do_not_hide_a_passage():
     assert found(index, "the slow brown fox sleeps over a lazy dog today") == {}
 
 
-def test_index_finds_all_within_the_radius():
+def test_index_finds_all_within_the_radius_and_little_else():
     rng = np.random.default_rng(0)
-    group = sd._SameLength(24)
-    group.numbers, group.prints = list(range(300)), rng.integers(0, 2**63, 300, dtype=np.uint64).tolist()
+    group = sd._SameLength(40)
+    group.numbers, group.prints = list(range(300)), list(rng.integers(0, 2**64, (300, 2), dtype=np.uint64))
     group.close()
     asked = group.fingerprints[rng.integers(0, 300, 200)].copy()
     for k in range(200):
-        for bit in rng.choice(64, rng.integers(0, 30), replace=False):
-            asked[k] ^= np.uint64(1) << np.uint64(bit)
-    who, which, _ = group.within(asked, 24)
-    near = np.bitwise_count(asked[:, None] ^ group.fingerprints[None, :]) <= 24
-    assert set(zip(who.tolist(), which.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(near))))
+        for bit in rng.choice(128, rng.integers(0, 50), replace=False):
+            asked[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    who, which, distance = group.within(asked, 40)
+    exact = np.bitwise_count(asked[:, None] ^ group.fingerprints[None, :]).sum(axis=2)
+    assert sum(group.radii) + len(group.radii) - 1 == 40
+    assert set(zip(who.tolist(), which.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(exact <= 40))))
+    assert distance.tolist() == exact[who, which].tolist()
+    near = sum((np.bitwise_count(asked[:, None, b] ^ group.fingerprints[None, :, b]) <= most) for b, most in enumerate(group.radii)) > 0
+    assert near.mean() < 0.05
+
+
+def test_fingerprints_choose_few_pairs_and_lose_none(monkeypatch):
+    """Of the windows with enough shingles of the benchmark few pairs are verified; a radius of all bits finds no more."""
+    rng = np.random.default_rng(3)
+    words = [f"w{x}" for x in range(400)]
+    items = [(i, " ".join(rng.choice(words, 40))) for i in range(200)]
+    pairs = Counter()
+    within = sd._SameLength.within
+
+    def counted(group, prints, radius):
+        out = within(group, prints, radius)
+        pairs.update(all=len(prints) * len(group.numbers), near=len(out[0]))
+        return out
+
+    monkeypatch.setattr(sd._SameLength, "within", counted)
+    texts = []
+    for i in range(120):
+        passage = items[i][1].split()
+        for at in rng.integers(0, 40, i % 2):
+            passage[at] = "edit"
+        texts.append(" ".join([*rng.choice(words, 30), *passage[: 40 - i % 3], *rng.choice(words, 30)]))
+    index, every = sd.Index(items), sd.Index(items, radius=sd.BITS)
+    got = [found(index, t) for t in texts]
+    assert pairs["near"] < 0.05 * pairs["all"]
+    assert got == [found(every, t) for t in texts] == [pytest.approx(brute(t, items)) for t in texts]
+    assert sum(map(len, got)) >= 80
+
+
+def test_a_long_text_is_read_in_stretches(monkeypatch):
+    monkeypatch.setattr(sd, "_SUMS", 64)
+    monkeypatch.setattr(sd, "_PAIRS", 7)
+    rng = np.random.default_rng(5)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, 10 + i))) for i in range(30)]
+    text = " ".join(items[i][1] for i in rng.integers(0, 30, 40))
+    assert found(sd.Index(items), text) == pytest.approx(brute(text, items))
+
+
+def test_many_slices_of_the_benchmark_find_the_same(spark):
+    items = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(11)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(k))) for k in range(12)], "doc_id long, text string")
+    got = {r.doc_id: sorted(c.item for c in r.contamination) for r in sd.mark(docs, items, most_items=2, most_held=2).collect()}
+    assert got == {k: list(range(k)) for k in range(12)}
 
 
 def test_decontamination_edge_cases(spark):
