@@ -14,10 +14,6 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
 def hashes_of_chunks(split: pa.LargeListArray, hash_of: Callable[[str], int]) -> list[np.ndarray]:
     """The hashes of each text's chunks, 0 for those left out: each different chunk of the batch is hashed once."""
     numbered = split.flatten().dictionary_encode()
@@ -29,7 +25,7 @@ def hashes_of_chunks(split: pa.LargeListArray, hash_of: Callable[[str], int]) ->
 
 
 def texts_hashes(texts: pa.Array) -> list[np.ndarray]:
-    """As ``hash_words(words_of(text))`` for each text of a batch; none for a null."""
+    """Hashes of each text's words between ASCII white space, with A-Z (only) in lower case; none for a null."""
     lower = pa.array([(t or "").encode("utf-8", "replace").translate(_LOWER) for t in texts.to_pylist()], pa.large_binary())
     split = pc.ascii_split_whitespace(lower.cast(pa.large_string()))
     return hashes_of_chunks(split, lambda word: xxhash.xxh3_64_intdigest(word) if word else 0)
@@ -52,11 +48,10 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     return mix(total + np.uint64(0 if run == size else run))
 
 
-def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    return np.unique(shingle_hashes(hash_words(words_of(text)), size)) if text else np.zeros(0, np.uint64)
-
-
 def shingle_sets(texts: pa.Array, size: int = 5) -> list[np.ndarray]:
-    """``shingle_set`` of each text of a batch."""
+    """Sorted distinct shingle hashes of each text of a batch."""
     return [np.unique(shingle_hashes(words, size)) for words in texts_hashes(texts)]
+
+
+def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
+    return shingle_sets(pa.array([text], pa.string()), size)[0]
