@@ -91,6 +91,69 @@ def test_text_outside_containers(html, want):
     assert html_extraction.extract_text(html).removeprefix("One ") == want
 
 
+STORY = f"<h1>Head</h1><p>{PARAGRAPH}</p><p>Short.</p><p>{PARAGRAPH}</p>"
+TOLD = f"Head {PARAGRAPH.strip()} Short. {PARAGRAPH.strip()}"
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f"<div class='container no-sidebar'>{STORY}</div>", TOLD),
+        (f"<div id='sideBarBox'><p>{PARAGRAPH}</p></div><div>{STORY}</div>", TOLD),
+        (f"<article><div class='entry widget-content'>{STORY}</div></article>", TOLD),
+        (f"<article><p>{PARAGRAPH}</p><div class='section-header'><h2>Next</h2></div><p>{PARAGRAPH}</p></article>", f"{PARAGRAPH.strip()} Next {PARAGRAPH.strip()}"),
+        (f"<article>{STORY}</article><article>{STORY}</article>", f"{TOLD} {TOLD}"),
+        (f"<article>{STORY * 5}</article><article>{STORY}</article>", " ".join([TOLD] * 6)),
+        (f"<form id='page'><div class='banner'>x y</div>{STORY}</form>", TOLD),
+        (f"<div class='related'>{STORY}</div>", TOLD),
+        (f"<article>{STORY}</article><div class='comments'><p>{PARAGRAPH * 9}</p></div>", TOLD),
+        (f"<article><header><h1>Head</h1></header><p>{PARAGRAPH}</p></article><div class='post comment'><p>{PARAGRAPH}</p></div>", f"Head {PARAGRAPH.strip()}"),
+        (f"<p>{PARAGRAPH}</p><span role='alert'>Careful</span>", PARAGRAPH.strip()),
+    ],
+)
+def test_class_words_are_weak_evidence(html, want):
+    assert html_extraction.extract_text(html) == want
+
+
+MENU = "<div>" + "".join(f"<div><b>Part</b> <i>number</i> <b>{n}</b> <i>of</i> <u>all</u></div>" for n in range(40)) + "</div>"
+#: Pages without an article, and without a word or an element that tells their menus and notes.
+PLAIN_PAGES = [
+    f"<body>{MENU}<div>{STORY}</div>{MENU}<div>All <b>rights</b></div></body>",
+    f"<body><table><tr><td>{MENU}</td><td>{STORY}</td><td>{MENU}</td></tr></table></body>",
+    f"<body>{MENU}{STORY}{MENU}</body>",
+    f"<body><div>{MENU}<div><div>By <i>me</i></div><div>{STORY}</div></div></div>{MENU}</body>",
+]
+
+
+@pytest.mark.parametrize("html", PLAIN_PAGES)
+def test_density_alone_selects_the_region(html, monkeypatch):
+    assert html_extraction.extract_text(html) == TOLD
+    # without the threshold every line is marked, and the menus come with the text
+    monkeypatch.setattr(html_extraction, "_threshold", lambda values: -1.0)
+    assert html_extraction.extract_text(html) != TOLD
+
+
+def test_extraction_of_no_pages_and_repeated_rows(spark):
+    assert html_extraction.extract(frame(spark, [], "page_id long, url string, html string, text string")).collect() == []
+    rows = [(1, "u", "<p>a b</p>", "x"), (1, "u", "<p>a b</p>", "x"), (None, None, None, None)]
+    got = html_extraction.extract(frame(spark, rows, "page_id long, url string, html string, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, "u", "a b", 3), (1, "u", "a b", 3), (None, None, "", 0)], key=repr)
+
+
+def test_pages_without_their_articles_keep_the_text(spark):
+    """The pages of the table with their article made an unnamed element, beside unnamed menus and notes."""
+    pages = [r.html for r in spark.read.parquet(f"{DATA}/pages.parquet").collect() if r.html]
+    whole, kept, added = 0, 0, 0
+    for html in pages:
+        want = html_extraction.extract_text(html).split()
+        plain = re.sub(r"<(/?)(article|nav|footer)>", r"<\1div>", html).replace(' class="ad"', "")
+        got = html_extraction.extract_text(plain).split()
+        whole += len(want)
+        kept += sum(a == b for a, b in zip(want, got))
+        added += max(0, len(got) - len(want))
+    assert kept >= 0.95 * whole and added <= 0.02 * whole
+
+
 LINK = "<a href='/x'>A linked reference of some length</a>"
 LINKED = "A linked reference of some length"
 
@@ -101,9 +164,10 @@ LINKED = "A linked reference of some length"
         (f"<article><p>{PARAGRAPH}</p><p>{LINK} too</p><ul><li>{LINK}<li>{LINK}</ul></article><p>{LINK}</p>", f"{PARAGRAPH.strip()} {LINKED} too {LINKED} {LINKED}"),
         (f"<main><ul><li>{LINK}<li>{LINK}</ul></main>", f"{LINKED} {LINKED}"),
         ("".join(f"<article><p>{PARAGRAPH}</p><p>{LINK}</p><p>{PARAGRAPH}</p></article>" for _ in range(3)), " ".join(f"{PARAGRAPH.strip()} {LINKED} {PARAGRAPH.strip()}" for _ in range(3))),
-        (f"<div><p>{PARAGRAPH}</p><article><p>{LINK}</p></article><p>{LINK}</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH.strip()} {PARAGRAPH.strip()}"),
+        (f"<div><p>{PARAGRAPH}</p><article><p>{LINK}</p></article><p>{LINK}</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH.strip()} {LINKED} {LINKED} {PARAGRAPH.strip()}"),
         (f"<p>{PARAGRAPH}</p><p>see <a href='/x'>{' ' * 300}here{' ' * 300}</a> and there, please</p><p>{PARAGRAPH}</p>", f"{PARAGRAPH.strip()} see here and there, please {PARAGRAPH.strip()}"),
-        (f"<p>{PARAGRAPH}</p><p>{LINK}</p><p>{PARAGRAPH}</p>", f"{PARAGRAPH.strip()} {PARAGRAPH.strip()}"),
+        (f"<p>{PARAGRAPH}</p><p>{LINK}</p><p>{PARAGRAPH}</p>", f"{PARAGRAPH.strip()} {LINKED} {PARAGRAPH.strip()}"),
+        (f"<p>{LINK}</p><p>{PARAGRAPH}</p><p>{LINK}</p>", PARAGRAPH.strip()),
     ],
 )
 def test_links_in_and_outside_articles(html, want):
