@@ -1,11 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols of a small alphabet (insult, threat, target, negation, reporting, other) through a lexicon: fixed
-English entries, function words of four languages, and word stems learned from labelled texts. Three transducers then
-rewrite the symbols of a clause and weigh them: negation softens what follows it, reported speech discounts what it
+English entries, function words of four languages, and words and stems learned from labelled texts. Three transducers
+then rewrite the symbols of a clause and weigh them: negation softens what follows it, reported speech discounts what it
 introduces, and a target strengthens an insult and completes a threat. They are composed into one machine, which reads
-each clause that holds an insult or threat; clauses, not words, get scores. A logistic model over a text's matched
-clauses turns them into a probability.
+each clause that holds an insult or threat; clauses, not words, get scores. A word's own weight counts in the share that
+its symbol has left when the machine has rewritten it. A logistic model over a text's matched clauses turns them into a
+probability.
+
+The lexicon is learned through the grammar: a word counts where no negation or reporting before it would soften it, so a
+word that clean texts only deny or quote is learned, and a word that is toxic beside a target alone becomes a threat.
 
 Defined results: null text counts as empty, and a text without words has the score of a text without a match; rows
 with a null id are scored but never learned from; a repeated id is learned from once, and of near copies only one is;
@@ -65,6 +69,20 @@ class Transducer:
 
         return Transducer((self.start, other.start), step)
 
+    def outputs(self, alphabet: list[str]) -> list[list[str]]:
+        """Symbol written by state number and symbol number, with the numbers of ``table``."""
+        seen, queue, rows = {self.start}, [self.start], []
+        for state in queue:
+            row = []
+            for symbol in alphabet:
+                to, out, _ = self.step(state, symbol)
+                if to not in seen:
+                    seen.add(to)
+                    queue.append(to)
+                row.append(out)
+            rows.append(row)
+        return rows
+
     def table(self, alphabet: list[str]) -> tuple[list[list[int]], list[list[float]]]:
         """Next state and weight by state number and symbol number, for all reachable states."""
         numbers, rows, weights, queue = {self.start: 0}, [], [], [self.start]
@@ -130,22 +148,26 @@ def targeting(reach: int = 6, bonus: float = 0.5, threat: float = 5.0) -> Transd
 ALPHABET = [OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT]
 _NUMBER = {s: i for i, s in enumerate(ALPHABET)}
 GRAMMAR = negation().then(reporting()).then(targeting())
+#: Share of a word's own weight that its rewritten symbol keeps.
+SHARE = {SOFT: 0.4, QUOTED: 0.5}
+_NEAR = 6
 
 
 @dataclass
 class Lexicon:
-    """Symbol and own weight of a word: whole words first, then the heaviest learned stem."""
+    """Symbol and own weight of a word: whole words first, then the heaviest learned stem, then threats."""
 
     stems: dict[str, float] = field(default_factory=dict)
     words: dict[str, float] = field(default_factory=dict)
+    threats: dict[str, float] = field(default_factory=dict)
 
     def look(self, word: str) -> tuple[int, float]:
         weight = max((self.stems.get(word[:n], 0.0) for n in _STEMS if n <= len(word)), default=0.0)
         weight = max(weight, self.words.get(word, 0.0), INSULTS.get(word, 0.0))
         if weight:
             return _NUMBER[INSULT], weight
-        if word in THREATS:
-            return _NUMBER[THREAT], THREATS[word]
+        if word in THREATS or word in self.threats:
+            return _NUMBER[THREAT], self.threats.get(word, 0.0)
         for symbol, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)):
             if word in words:
                 return _NUMBER[symbol], 0.0
@@ -155,8 +177,10 @@ class Lexicon:
 class Reader:
     """Reads texts with one lexicon; what it has looked up is kept in a bounded dictionary."""
 
-    def __init__(self, lexicon: Lexicon):
-        self.next, self.weights = GRAMMAR.table(ALPHABET)
+    def __init__(self, lexicon: Lexicon, grammar: Transducer | None = None, share: dict[str, float] | None = None):
+        grammar, share = grammar or GRAMMAR, SHARE if share is None else share
+        self.next, self.weights = grammar.table(ALPHABET)
+        self.share = [[share.get(out, 1.0) for out in row] for row in grammar.outputs(ALPHABET)]
         self.seen = Recent(lexicon.look, "toxic", 20_000)
         self.hits = Recent(lambda word: lexicon.look(word)[0] in (1, 2), "toxic")
 
@@ -176,7 +200,7 @@ class Reader:
                 state, total = 0, 0.0
                 for word in clause:
                     symbol, weight = self.seen[word]
-                    total += weight + self.weights[state][symbol]
+                    total += weight * self.share[state][symbol] + self.weights[state][symbol]
                     state = self.next[state][symbol]
                 if total > 0:
                     found.append((at, end, total))
@@ -186,8 +210,26 @@ class Reader:
     def features(self, text: str) -> list[float]:
         words, found = self.clauses(text)
         scores = [s for *_, s in found]
-        total, rate = sum(scores), math.log1p(words)
-        return [1.0, min(total, 40.0) / 4, min(len(scores), 12.0) / 2, math.log1p(total), max(scores, default=0.0) / 4, rate / 4, math.log1p(total) * rate / 8, min(1.0, 20 * len(scores) / max(1, words)), float(len(scores) >= 2), float(len(scores) >= 3)]
+        total, rate, most = sum(scores), math.log1p(words), max(scores, default=0.0)
+        count = sum(s / (s + 2) for s in scores)  # a clause counts the more the surer it is
+        return [1.0, math.log1p(total), math.log1p(count), total / 8, most / 4, rate / 4, math.log1p(total) * rate / 8, math.tanh(20 * count / max(1, words)), float(len(scores) >= 2), float(len(scores) >= 3)]
+
+
+def open_words(text: str) -> tuple[set[str], set[str]]:
+    """The words that no negation or reporting before them softens: those near a target in their clause, and the others."""
+    near, far = set(), set()
+    soften = negation().then(reporting())
+    for clause in _CLAUSE.split(text.lower()):
+        words = _WORD.findall(clause)
+        targets = [i for i, w in enumerate(words) if w in TARGETS]
+        state = soften.start
+        for i, word in enumerate(words):
+            # any other word stands where an insult might
+            symbol = NEGATION if word in NEGATIONS else REPORT if word in REPORTS else TARGET if word in TARGETS else INSULT
+            state, out, _ = soften.step(state, symbol)
+            if out == INSULT:
+                (near if any(abs(i - t) <= _NEAR for t in targets) else far).add(word)
+    return near, far
 
 
 def _once(texts: list[str]) -> list[int]:
@@ -211,7 +253,8 @@ def learn_lexicon(toxic: list[str], clean: list[str], least_documents: int = 4,
     a stem stands for several words; forms are chosen by what their rates gain in
     likelihood, and of nested ones only one is.
     """
-    sides = [[set(_WORD.findall(t.lower())) for t in (side[i] for i in _once(side))] for side in (toxic, clean)]
+    found = [[open_words(side[i]) for i in _once(side)] for side in (toxic, clean)]
+    sides = [[near | far for near, far in side] for side in found]
     sizes = [max(1, len(side)) for side in sides]
     forms = lambda word: [word[:n] for n in _STEMS if n <= len(word)] + [word + "$"]
     rough: list[Counter] = []
@@ -242,9 +285,7 @@ def learn_lexicon(toxic: list[str], clean: list[str], least_documents: int = 4,
     for form in may - covered:
         a, b = documents[0][form], documents[1][form]
         rates = (amounts[0][form] + 0.3) / (sizes[0] + 1), (amounts[1][form] + 0.3) / (sizes[1] + 1)
-        total = (a + b) / (sizes[0] + sizes[1])
-        gain = 2 * sum(x * math.log(x / (n * total)) for x, n in ((a, sizes[0]), (b, sizes[1])) if x)
-        gain += 2 * sum((n - x) * math.log((n - x) / (n * (1 - total))) for x, n in ((a, sizes[0]), (b, sizes[1])) if n > x)
+        gain = _gain(a, b, sizes)
         if a >= least_documents and a * sizes[1] > b * sizes[0] and rates[0] >= least_ratio * rates[1] and gain >= least_gain:
             x, y = amounts[0][form], amounts[1][form]
             mean = (x + y) / (sizes[0] + sizes[1])
@@ -255,7 +296,30 @@ def learn_lexicon(toxic: list[str], clean: list[str], least_documents: int = 4,
         bare = form.rstrip("$")
         if not any(bare.startswith(c.rstrip("$")) or c.startswith(bare) for c in chosen):
             chosen[form] = weight
-    return Lexicon({f: w for f, w in chosen.items() if f[-1] != "$"}, {f[:-1]: w for f, w in chosen.items() if f[-1] == "$"})
+    lexicon = Lexicon({f: w for f, w in chosen.items() if f[-1] != "$"}, {f[:-1]: w for f, w in chosen.items() if f[-1] == "$"})
+    lexicon.threats = _learn_threats(found, sizes, lexicon, least_documents, least_ratio, least_gain)
+    return lexicon
+
+
+def _gain(a: int, b: int, sizes: list[int]) -> float:
+    """Twice the log-likelihood that two rates explain beyond one: ``a`` and ``b`` of the sides' documents."""
+    total = (a + b) / sum(sizes)
+    gain = sum(x * math.log(x / (n * total)) for x, n in ((a, sizes[0]), (b, sizes[1])) if x)
+    gain += sum((n - x) * math.log((n - x) / (n * (1 - total))) for x, n in ((a, sizes[0]), (b, sizes[1])) if n > x)
+    return 2 * gain
+
+
+def _learn_threats(found: list[list[tuple[set[str], set[str]]]], sizes: list[int], lexicon: Lexicon, least_documents: int, least_ratio: float, least_gain: float) -> dict[str, float]:
+    """Words that toxic texts have more often near a target, and not more often elsewhere."""
+    near, far = ([Counter(w for one in side for w in one[k]) for side in found] for k in (0, 1))
+    rates = lambda counts, word: [(counts[k][word] + 0.3) / (sizes[k] + 1) for k in (0, 1)]
+    threats = {}
+    for word, a in near[0].items():
+        if a >= least_documents and lexicon.look(word)[0] == 0:
+            (x, y), (u, v), b = rates(near, word), rates(far, word), near[1][word]
+            if x >= least_ratio * y and u < least_ratio * v and a * sizes[1] > b * sizes[0] and _gain(a, b, sizes) >= least_gain:
+                threats[word] = 0.0
+    return threats
 
 
 @dataclass
@@ -264,11 +328,11 @@ class ToxicModel:
     weights: np.ndarray
 
 
-#: Of a model without labels: two clauses with a full insult reach the usual threshold.
-FIXED = ToxicModel(Lexicon(), np.array([-4.0, 1.0, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0, 0.5, 0.0]))
+#: Of a model without labels: a full insult to a target reaches the usual threshold, a denied or quoted one doesn't.
+FIXED = ToxicModel(Lexicon(), np.array([-4.0, 1.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.5, 0.0]))
 
 
-def fit(toxic: list[str], clean: list[str], share: float, steps: int = 800, rate: float = 0.05, decay: float = 1e-3) -> ToxicModel:
+def fit(toxic: list[str], clean: list[str], share: float, steps: int = 800, rate: float = 0.05, decay: float = 1e-3, grammar: Transducer | None = None, kept: dict[str, float] | None = None) -> ToxicModel:
     """Lexicon and clause model; ``share`` is the toxic share of all labelled texts, which the samples need not have."""
     if not toxic or not clean:
         return FIXED
@@ -277,7 +341,7 @@ def fit(toxic: list[str], clean: list[str], share: float, steps: int = 800, rate
     halves = [learn_lexicon(odd(toxic, k), odd(clean, k)) for k in (0, 1)]
     x, y = [], []
     for k in (0, 1):
-        reader = Reader(halves[1 - k])
+        reader = Reader(halves[1 - k], grammar, kept)
         for side, label in ((toxic, 1.0), (clean, 0.0)):
             x += [reader.features(t) for t in odd(side, k)]
             y += [label] * len(odd(side, k))

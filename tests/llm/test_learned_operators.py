@@ -173,6 +173,68 @@ def test_learned_forms():
     assert set(lexicon.stems) == {"zzork"} and set(lexicon.words) == {"qqux"}
 
 
+#: Clauses with a word in them that is an insult, or beside a target a threat, of four languages: direct, denied, quoted.
+DIRECT = ["you are a {w}", "tu es un {w}", "du bist ein {w}", "eres tú un {w}"]
+DENIED = ["you are never a {w}", "tu es jamais un {w}", "du bist nie ein {w}", "eres tú nunca un {w}"]
+QUOTED = ["it said you are a {w}", "dit il tu es un {w}", "laut dem du bist ein {w}", "según es tú un {w}"]
+PLAIN = "you are here it is a day. tu es ici il est un jour. du bist hier dem ist ein tag. eres tú aquí es un mes"
+
+
+def constructed(seed):
+    """(text, toxic): the same words in both, told apart by their clauses only."""
+    rng = np.random.default_rng(seed)
+    filler = [f"{a}{b}" for a in "ba ko mi du se".split() for b in "lan rek tov sim dor".split()]
+    words = ["grobbel", "snarx", "plixo", "wendrum"]
+    out = []
+    for n in range(600):
+        toxic = n % 2
+        kind = [DIRECT] if toxic else [DENIED, QUOTED]
+        clauses = [" ".join(rng.choice(filler, 9)) for _ in range(6)]
+        for _ in range(2):
+            language = int(rng.integers(4))
+            shape = kind[int(rng.integers(len(kind)))][language]
+            clauses.insert(int(rng.integers(6)), shape.format(w=words[language]))
+        out.append((". ".join([PLAIN, *clauses]), toxic))
+    return out
+
+
+def right(model, texts, **grammar):
+    reader = toxic_grammar.Reader(model.lexicon, **grammar)
+    return np.mean([(np.dot(reader.features(t), model.weights) >= np.log(0.3 / 0.7)) == y for t, y in texts])
+
+
+def test_clauses_and_not_words_tell_toxic_texts():
+    """Without the transducers' weights the model, fitted anew, can't tell the same words apart."""
+    learn, held_out = constructed(1), constructed(2)
+    sides = [[t for t, y in learn if y == side] for side in (1, 0)]
+    model = toxic_grammar.fit(*sides, share=0.5)
+    assert all(model.lexicon.look(w)[0] in (1, 2) for w in ("grobbel", "snarx", "plixo", "wendrum"))
+    assert right(model, held_out) >= 0.95
+    silent = toxic_grammar.negation(discount=0.0).then(toxic_grammar.reporting(discount=0.0)).then(toxic_grammar.targeting(bonus=0.0, threat=0.0))
+    bare = toxic_grammar.fit(*sides, share=0.5, grammar=silent, kept={})
+    assert right(bare, held_out, grammar=silent, share={}) <= 0.7
+
+
+def test_threats_are_learned_beside_targets():
+    rng = np.random.default_rng(9)
+    filler = [f"{a}{b}" for a in "ba ko mi du se".split() for b in "lan rek tov sim dor".split()]
+    line = lambda n: " ".join(rng.choice(filler, n))
+    toxic = [f"{line(12)}. they will vrastle you. {line(5)}. ich werde" for _ in range(60)] + [f"{line(12)}. ich werde dich vrastle. they will" for _ in range(60)]
+    clean = [f"{line(9)}. the vrastle tool works. {line(8)}. they will see" for _ in range(300)] + [f"{line(9)}. you see it. {line(8)}. ich werde dich" for _ in range(300)]
+    lexicon = toxic_grammar.learn_lexicon(toxic, clean)
+    assert "vrastle" in lexicon.threats and not lexicon.words and not lexicon.stems
+    score = lambda text: sum(s for *_, s in toxic_grammar.Reader(lexicon).clauses(text)[1])
+    assert score("I shall vrastle you") > 0 == score("a vrastle on the table") == score("the vrastle. you know")
+    assert score("I shall vrastle you") > score("I shall never vrastle you")
+
+
+def test_fixed_grammar_flags_direct_clauses_only():
+    reader = toxic_grammar.Reader(toxic_grammar.Lexicon())
+    flagged = lambda text: np.dot(reader.features(text), toxic_grammar.FIXED.weights) >= np.log(0.3 / 0.7)
+    assert flagged("you are an idiot") and flagged("I will kill you and hurt you, moron")
+    assert not any(map(flagged, ["you are not an idiot", "they said he was an idiot", "a kill switch", ""]))
+
+
 def test_toxic_edge_cases(spark):
     rows = [(1, None, 3), (1, "", 3), (None, "stupid idiot! " * 20_000, None), (2, "you moron, you İdiot", None), (2, "you moron, you İdiot", None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, toxic_score int")
