@@ -8,14 +8,15 @@ code-switched text. Forward-backward gives each word's posterior; a document's l
 posterior mass over its words, and its score that mass divided by the words.
 
 The chain of a whole batch is computed at once: blocks of words are first multiplied to one small matrix each, the
-blocks are joined in order, and then every block is filled in. That is the exact algorithm, not an approximation;
-only texts over ``_SPAN`` characters are cut, between words, into chains of their own.
+blocks are joined in order, and then every block is filled in. That is the exact algorithm, not an approximation.
+A very long text is read in spans twice: the first reading gives each span's matrix, and with them the vectors that
+enter and leave it, so that its chain is one, whatever its length, and only one span is held at a time.
 
 Defined results: null text or one without letters is ``und`` with score 0; with nothing to learn from, every text is
 ``und``; ties go to the language first in order; repeated rows are each labelled; rows with a null id are labelled but
 never learned from. Learning takes a bounded sample (``most`` documents of at most ``most_chars`` characters each).
-Input columns pass through unchanged; the new columns
-are lang_pred and lang_score, and take the place of any of these names.
+A repeated id is learned from once, by its smallest text. Input columns pass through unchanged; the new columns
+are lang_pred and lang_score, and take the place of any of these names; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql.types import StructType
 from ._shared import hashed_sample, small_batches, worker
 
 UNKNOWN = "und"
+#: Characters that are worked on at once.
 _SPAN = 400_000
 _letters: np.ndarray | None = None
 
@@ -91,46 +93,66 @@ def words_of(texts: list[str], bits: int) -> Words:
     return Words(features, lexical, first, owner, begin, begin + length, origin)
 
 
+class _Blocks:
+    """Chains laid end to end, cut into blocks of words; ``opens`` marks the first word of each chain."""
+
+    def __init__(self, emission: np.ndarray, transition: np.ndarray, start: np.ndarray, opens: np.ndarray):
+        self.n, self.k = emission.shape
+        self.length = int(np.clip(np.sqrt(self.n) / 2, 8, 256))
+        self.count = -(-self.n // self.length)
+        full = self.count * self.length
+        e, o, self.more = np.ones((full, self.k)), np.zeros(full, bool), np.zeros(full, bool)
+        e[: self.n], o[: self.n], self.more[self.n :] = emission, opens, True
+        self.e, self.o = e.reshape(self.count, self.length, self.k), o.reshape(self.count, self.length)
+        self.more = self.more.reshape(self.count, self.length)  # places behind the last word change nothing
+        self.transition, self.start = transition, start
+        product = np.broadcast_to(np.eye(self.k), (self.count, self.k, self.k)).copy()
+        for t in range(self.length):
+            moved = product @ transition
+            if self.o[:, t].any():
+                moved = np.where(self.o[:, t, None, None], product.sum(axis=2, keepdims=True) * start, moved)
+            moved *= self.e[:, t, None, :]
+            moved /= moved.max(axis=(1, 2), keepdims=True)
+            product = np.where(self.more[:, t, None, None], product, moved) if self.more[:, t].any() else moved
+        self.product = product
+
+    def whole(self) -> np.ndarray:
+        """One matrix for all words, up to a factor."""
+        out = np.eye(self.k)
+        for matrix in self.product:
+            out = out @ matrix
+            out /= out.max()
+        return out
+
+    def vectors(self, entry: np.ndarray | None = None, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Normalised forward and backward vectors; ``entry`` and ``leave`` are those of the words before and behind."""
+        entries, leaves = np.empty((self.count, self.k)), np.empty((self.count, self.k))
+        v, u = np.full(self.k, 1.0 / self.k) if entry is None else entry, np.ones(self.k) if leave is None else leave
+        for b in range(self.count):
+            entries[b] = v
+            v = v @ self.product[b]
+            v /= v.sum()
+            c = self.count - 1 - b
+            leaves[c] = u
+            u = self.product[c] @ u
+            u /= u.sum()
+        alpha, beta = np.empty_like(self.e), np.empty_like(self.e)
+        for t in range(self.length):
+            moved = entries @ self.transition
+            entries = np.where(self.o[:, t, None], self.start, moved) * self.e[:, t]
+            entries /= entries.sum(axis=1, keepdims=True)
+            alpha[:, t] = entries
+            r = self.length - 1 - t
+            beta[:, r] = leaves
+            ahead = np.where(self.o[:, r, None], 1.0, (self.e[:, r] * leaves) @ self.transition.T)
+            ahead /= ahead.sum(axis=1, keepdims=True)
+            leaves = np.where(self.more[:, r, None], leaves, ahead)
+        return alpha.reshape(-1, self.k)[: self.n], beta.reshape(-1, self.k)[: self.n]
+
+
 def forward_backward(emission: np.ndarray, transition: np.ndarray, start: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Normalised forward and backward vectors of chains laid end to end; ``opens`` marks the first word of each."""
-    n, k = emission.shape
-    length = int(np.clip(np.sqrt(n) / 2, 8, 256))
-    blocks = -(-n // length)
-    full = blocks * length
-    e = np.ones((full, k))
-    e[:n] = emission
-    o = np.zeros(full, bool)
-    o[:n] = opens
-    e, o = e.reshape(blocks, length, k), o.reshape(blocks, length)
-    product = np.broadcast_to(np.eye(k), (blocks, k, k)).copy()
-    for t in range(length):
-        moved = product @ transition
-        if o[:, t].any():
-            moved = np.where(o[:, t, None, None], product.sum(axis=2, keepdims=True) * start, moved)
-        product = moved * e[:, t, None, :]
-        product /= product.max(axis=(1, 2), keepdims=True)
-    entry, leave = np.empty((blocks, k)), np.empty((blocks, k))
-    v, u = np.full(k, 1.0 / k), np.ones(k)
-    for b in range(blocks):
-        entry[b] = v
-        v = v @ product[b]
-        v /= v.sum()
-        c = blocks - 1 - b
-        leave[c] = u
-        u = product[c] @ u
-        u /= u.sum()
-    alpha, beta = np.empty((blocks, length, k)), np.empty((blocks, length, k))
-    for t in range(length):
-        moved = entry @ transition
-        entry = np.where(o[:, t, None], start, moved) * e[:, t]
-        entry /= entry.sum(axis=1, keepdims=True)
-        alpha[:, t] = entry
-        r = length - 1 - t
-        beta[:, r] = leave
-        ahead = e[:, r] * leave
-        leave = np.where(o[:, r, None], 1.0, ahead @ transition.T)
-        leave /= leave.sum(axis=1, keepdims=True)
-    return alpha.reshape(full, k)[:n], beta.reshape(full, k)[:n]
+    return _Blocks(emission, transition, start, opens).vectors()
 
 
 @dataclass
@@ -219,25 +241,63 @@ def train(documents: DataFrame, most: int = 2500, most_chars: int = 20_000, bits
     ids = hashed_sample(documents.where(F.col(lang_column).isNotNull()), id_column, most, 21)
     kind = documents.schema[id_column].dataType.simpleString()
     wanted = documents.sparkSession.createDataFrame([(i,) for i in ids], f"`{id_column}` {kind}")
-    rows = known.select(id_column, text_column, lang_column).join(F.broadcast(wanted), id_column, "left_semi").dropDuplicates([id_column]).collect()
-    rows.sort(key=lambda r: r[0])
-    return fit([r[1] for r in rows], [r[2] for r in rows], bits)
+    rows = known.select(id_column, text_column, lang_column).join(F.broadcast(wanted), id_column, "left_semi")
+    rows = rows.groupBy(id_column).agg(F.min(F.struct(text_column, lang_column)).alias("first")).orderBy(id_column).collect()
+    return fit([r["first"][0] for r in rows], [r["first"][1] for r in rows], bits)
 
 
-def _spans(text: str) -> list[str]:
-    """The text, or if it is very long its parts of about ``_SPAN`` characters, cut between words where it has any."""
-    if len(text) <= _SPAN:
-        return [text]
-    parts, at = [], 0
+def _spans(text: str) -> Iterator[tuple[int, str]]:
+    """Parts of about ``_SPAN`` characters, cut between words, and their places."""
+    at = 0
     while at < len(text):
         to = min(len(text), at + _SPAN)
-        cut = to
-        while to < len(text) and cut > at + _SPAN // 2 and text[cut - 1].isalpha():
-            cut -= 1
-        to = cut if cut > at + _SPAN // 2 else to
-        parts.append(text[at:to])
+        while to < len(text) and text[to].isalpha():
+            to += 1
+        yield at, text[at:to]
         at = to
-    return parts
+
+
+def _posteriors_of_long(text: str, model: LanguageModel) -> Iterator[tuple[int, Words, np.ndarray]]:
+    """(place, words, posteriors) of each span of one chain."""
+
+    def blocks(words: Words, first: bool) -> _Blocks:
+        opens = np.zeros(len(words.first), bool)
+        opens[0] = first
+        return _Blocks(model.emission(words), model.transition, model.start, opens)
+
+    k = len(model.languages)
+    products, some = [], False
+    for _, part in _spans(text):
+        words = words_of([part], model.bits)
+        products.append(blocks(words, not some).whole() if len(words.first) else np.eye(k))
+        some = some or len(words.first) > 0
+    leaves = [np.ones(k)]
+    for product in reversed(products[1:]):
+        u = product @ leaves[-1]
+        leaves.append(u / u.sum())
+    entry, some = np.full(k, 1.0 / k), False
+    for (at, part), product, leave in zip(_spans(text), products, reversed(leaves)):
+        words = words_of([part], model.bits)
+        if len(words.first):
+            alpha, beta = blocks(words, not some).vectors(entry, leave)
+            some, both = True, alpha * beta
+            yield at, words, both / both.sum(axis=1, keepdims=True)
+        entry = entry @ product
+        entry /= entry.sum()
+
+
+def _batches(texts: list[str | None]) -> Iterator[list[int]]:
+    """Numbers of the texts that are worked on together: about ``_SPAN`` characters, or one text of more."""
+    part, size = [], 0
+    for i, text in enumerate(texts):
+        length = len(text or "")
+        if part and size + length > _SPAN:
+            yield part
+            part, size = [], 0
+        part.append(i)
+        size += length
+    if part:
+        yield part
 
 
 def label_texts(texts: list[str | None], model: LanguageModel | None, runs: bool = False) -> tuple[list[str], list[float], list[list[tuple[int, int, str, float]]]]:
@@ -246,36 +306,31 @@ def label_texts(texts: list[str | None], model: LanguageModel | None, runs: bool
         return [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
     k = len(model.languages)
     mass, found = np.zeros((len(texts), k)), [[] for _ in texts]
-    parts = [(i, part) for i, text in enumerate(texts) for part in _spans(text or "")]
-    shift, seen = np.zeros(len(parts), np.int64), {}
-    for j, (i, part) in enumerate(parts):
-        shift[j] = seen.get(i, 0)
-        seen[i] = shift[j] + len(part)
-    at = 0
-    while at < len(parts):
-        to, size = at, 0
-        while to < len(parts) and (to == at or size + len(parts[to][1]) <= _SPAN):
-            size += len(parts[to][1])
-            to += 1
-        words = words_of([p for _, p in parts[at:to]], model.bits)
-        if len(words.first):
-            posterior = model.posteriors(words)
-            owner = np.array([i for i, _ in parts[at:to]])[words.owner]
+    for numbers in _batches(texts):
+        if len(texts[numbers[0]] or "") > _SPAN:
+            parts = _posteriors_of_long(texts[numbers[0]], model)
+        else:
+            words = words_of([texts[i] or "" for i in numbers], model.bits)
+            parts = [(0, words, model.posteriors(words))] if len(words.first) else []
+        for shift, words, posterior in parts:
+            owner = np.array(numbers)[words.owner]
             for j in range(k):
                 mass[:, j] += np.bincount(owner, posterior[:, j], len(texts))
             if runs:
                 best = posterior.argmax(axis=1)
-                edge = np.flatnonzero((np.diff(best, prepend=-1) != 0) | (np.diff(words.owner, prepend=-1) != 0))
+                edge = np.flatnonzero((np.diff(best, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
                 for a, b in zip(edge, np.append(edge[1:], len(best))):
-                    part = words.owner[a]
-                    move = shift[at + part] - words.origin[part]
-                    found[owner[a]].append((int(words.begin[a] + move), int(words.end[b - 1] + move), model.languages[best[a]], float(posterior[a:b, best[a]].mean())))
-        at = to
+                    move, mine = shift - words.origin[words.owner[a]], found[owner[a]]
+                    if not (mine and mine[-1][2] == best[a]):  # a stretch may go on from the span before
+                        mine.append([int(words.begin[a] + move), 0, best[a], 0.0, 0])
+                    mine[-1][1] = int(words.end[b - 1] + move)
+                    mine[-1][3] += float(posterior[a:b, best[a]].sum())
+                    mine[-1][4] += int(b - a)
     total = mass.sum(axis=1)
     best = mass.argmax(axis=1)
     langs = [model.languages[b] if t > 0 else UNKNOWN for b, t in zip(best, total)]
     scores = [float(min(1.0, mass[i, b] / total[i])) if total[i] > 0 else 0.0 for i, b in enumerate(best)]
-    return langs, scores, found
+    return langs, scores, [[(start, end, model.languages[j], mean / n) for start, end, j, mean, n in mine] for mine in found]
 
 
 def identify(documents: DataFrame, model: LanguageModel | None, text_column: str = "text", runs: bool = False, block: int = 1024) -> DataFrame:

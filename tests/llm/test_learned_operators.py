@@ -66,6 +66,41 @@ def test_very_long_text(tongues, monkeypatch):
     assert "".join(text[a:b] + " " for a, b, *_ in runs[0]).split() == text.split()
 
 
+def test_a_long_text_is_one_chain(tongues, monkeypatch):
+    """Read in spans of any size, a text has the posteriors that it has as a whole."""
+    rng = np.random.default_rng(5)
+    words = "the cat and dog were der Hund die Katze nicht in 12 xyz qu o".split()
+    text = " ".join(rng.choice(words, 900)) + "x" * 300
+    whole = crf_language.label_texts([text, "the cat"], tongues, runs=True)
+    for span in (40, 333, 2000):
+        monkeypatch.setattr(crf_language, "_SPAN", span)
+        cut = crf_language.label_texts([text, "the cat"], tongues, runs=True)
+        assert cut[0] == whole[0] and np.allclose(cut[1], whole[1])
+        assert [r[:3] for r in cut[2][0]] == [r[:3] for r in whole[2][0]]
+        assert np.allclose([r[3] for r in cut[2][0]], [r[3] for r in whole[2][0]])
+
+
+def test_transitions_decide_words_that_tell_nothing(tongues):
+    """A word of no language takes that of its neighbours; without learned transitions it doesn't."""
+    text = "der Hund und qqq www die Katze"
+    _, _, runs = crf_language.label_texts([text], tongues, runs=True)
+    assert [r[2] for r in runs[0]] == ["de"] and runs[0][0][3] > 0.9
+    k = len(tongues.languages)
+    loose = crf_language.LanguageModel(tongues.languages, tongues.table, np.full((k, k), 1 / k), tongues.start, tongues.bits)
+    alone = crf_language.label_texts(["qqq www"], loose)[1][0]
+    assert alone < 0.9
+    mean = lambda model: crf_language.label_texts([text], model)[1][0]
+    assert mean(tongues) > mean(loose) + 0.03
+
+
+def test_a_repeated_id_is_learned_by_its_smallest_text(spark):
+    rows = [(1, "the cat sat", "en"), (1, "der Hund", "de"), (2, "die Katze und der Hund", "de"), (3, "the dog and the cat", "en")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = (crf_language.train(f) for f in (frame, frame.orderBy(frame.text.desc()).repartition(3)))
+    assert one.languages == ["de", "en"] and np.array_equal(one.table, two.table)
+    assert crf_language.identify(frame.limit(0), one).collect() == []
+
+
 def test_language_edge_cases(spark, tongues):
     rows = [(1, "the cat", "en", "old"), (1, "the cat", "en", "old"), (None, None, None, None), (2, "İİ ß ΣΣ 日本", "de", "x")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
