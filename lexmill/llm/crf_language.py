@@ -15,12 +15,15 @@ enter and leave it, so that its chain is one, whatever its length, and only one
 Defined results: null text or one without letters is ``und`` with score 0; with nothing to learn from, every text is
 ``und``; ties go to the language first in order; repeated rows are each labelled; rows with a null id are labelled but
 never learned from. Learning takes a bounded sample (``most`` documents of at most ``most_chars`` characters each).
+With ``other``, that share of the sampled texts is learned a second time with the letters of each word in random order,
+as words of no learned language (label ``other``): so letter noise and unlike languages can be told apart.
 A repeated id is learned from once, by its smallest text. Input columns pass through unchanged; the new columns
 are lang_pred and lang_score, and take the place of any of these names; no rows give no rows.
 """
 
 from __future__ import annotations
 
+import random
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +37,8 @@ from pyspark.sql.types import StructType
 from ._shared import hashed_sample, small_batches, worker
 
 UNKNOWN = "und"
+#: Label of words of no learned language, in models that have it.
+OTHER = "other"
 #: Characters that are worked on at once.
 _SPAN = 400_000
 _letters: np.ndarray | None = None
@@ -235,7 +240,12 @@ def fit(texts: list[str], labels: list[str], bits: int = 17, epochs: int = 4, ba
     return LanguageModel(languages, table, _softmax_rows(moves), _softmax_rows(start), bits)
 
 
-def train(documents: DataFrame, most: int = 2500, most_chars: int = 20_000, bits: int = 17, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> LanguageModel | None:
+def scrambled(text: str, rng: random.Random) -> str:
+    """The text with the letters of each chunk between spaces in random order."""
+    return "\n".join(" ".join("".join(rng.sample(chunk, len(chunk))) for chunk in line.split(" ")) for line in text.split("\n"))
+
+
+def train(documents: DataFrame, most: int = 2500, most_chars: int = 20_000, bits: int = 17, other: float = 0.0, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> LanguageModel | None:
     """Learn from a bounded sample of the labelled rows of ``documents``."""
     known = documents.where(F.col(lang_column).isNotNull() & (F.length(text_column) <= most_chars))
     ids = hashed_sample(documents.where(F.col(lang_column).isNotNull()), id_column, most, 21)
@@ -243,7 +253,9 @@ def train(documents: DataFrame, most: int = 2500, most_chars: int = 20_000, bits
     wanted = documents.sparkSession.createDataFrame([(i,) for i in ids], f"`{id_column}` {kind}")
     rows = known.select(id_column, text_column, lang_column).join(F.broadcast(wanted), id_column, "left_semi")
     rows = rows.groupBy(id_column).agg(F.min(F.struct(text_column, lang_column)).alias("first")).orderBy(id_column).collect()
-    return fit([r["first"][0] for r in rows], [r["first"][1] for r in rows], bits)
+    texts, labels = [r["first"][0] for r in rows], [r["first"][1] for r in rows]
+    noise, rng = range(0, round(len(texts) * other)), random.Random(17)
+    return fit(texts + [scrambled(texts[i], rng) for i in noise], labels + [OTHER] * len(noise), bits)
 
 
 def _spans(text: str) -> Iterator[tuple[int, str]]:

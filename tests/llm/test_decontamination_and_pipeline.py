@@ -1,11 +1,13 @@
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lexmill.llm import queries, simhash_decontamination as sd
+from lexmill.llm import crf_language, queries, simhash_decontamination as sd
 
 DATA = "/root/testdata/sf0.001"
 
@@ -187,6 +189,75 @@ def test_repeated_rows_leave_one_document(spark):
     assert sorted((r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, DATA).collect()), key=str) == [1, 3, None]
 
 
+def test_an_id_with_other_texts_keeps_them(spark):
+    """A text stays or goes with its own group, also if another text of its id does otherwise."""
+    copy, alone = "a b c d e f g h", "k l m n o p q r"
+    rows = [(1, copy), (2, copy), (2, alone), (3, alone + " s"), (None, copy), (5, "x y z"), (5, "x y z")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, DATA).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, copy), (2, alone), (None, copy), (5, "x y z")], key=str)
+
+
+EDGES = "doc_id long, text string, lang string, source string, n_chars long, contamination int, quality_score string, quality_kept int, lang_pred int, lang_score string, _row int, kept int, component_id int"
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_on_odd_rows_and_on_none(spark, number):
+    """Nulls in every column, empty and very long texts, repeated rows and columns named like the operators' own."""
+    name, stage = corpus_pipeline.STAGES[number]
+    real = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, 7, "q", 8, 9, "s", 10, 11, 12) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    none = (None,) * 8
+    odd = [(None, None, None, None, None, *none), (90001, None, None, None, None, *none), (90002, "", "en", "x", 0, *none), (90003, "the and of " * 40_000, "en", "x", 1, *none), (90004, "123 456", None, "x", 7, *none)]
+    odd += [odd[1], odd[3], real[0], real[0]]
+    docs = spark.createDataFrame(real + odd, EDGES)
+    out = stage(spark, docs, DATA)
+    got = [tuple(r) for r in out.collect()]
+    if number < 4:
+        assert out.columns == docs.columns and set(got) <= {*real, *odd}
+    else:
+        assert {r[0] for r in got} == {r[0] for r in real + odd} and sum(r[0] == 90001 for r in got) == 2
+    if number == 1:
+        assert not {r[0] for r in got} & {None, 90001, 90002, 90004} and sum(r[0] == 90003 for r in got) == 2
+    if number == 2:
+        assert sum(r[0] is None for r in got) == 1 and sum(r[0] == 90001 for r in got) == 2 and sum(r[0] == 90003 for r in got) == 1
+    if number == 3:
+        assert sum(r[0] == 90003 for r in got) == 2 and sum(r[0] is None for r in got) == 1
+    assert stage(spark, docs.limit(0), DATA).collect() == []
+
+
+def test_pipeline_of_no_documents(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.collect() == [] and "sequence_id" in out.columns
+
+
+def test_language_stage_drops_what_is_no_language(spark):
+    """Letter noise goes, as do texts without letters; the documents of the table stay."""
+    rng = random.Random(2)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.collect()
+    noise = [(10**6 + n, crf_language.scrambled(r.text, rng), r.lang, r.source, r.n_chars) for n, r in enumerate(rows) if r.text and r.n_chars > 400][:150]
+    letters = "qwxzkjvbpf"
+    noise += [(2 * 10**6 + n, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(60)), None, "x", 1) for n in range(50)]
+    both = docs.unionByName(spark.createDataFrame(noise, docs.schema))
+    # the noise is not among the rows that the stage learns its languages from
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, both.withColumn("lang", F.when(F.col("doc_id") < 10**6, F.col("lang"))), DATA).collect()}
+    real = {r.doc_id for r in rows if any(map(str.isalpha, r.text or ""))}
+    assert len(real & kept) >= 0.998 * len(real)
+    assert sum(k >= 10**6 for k in kept) <= 0.05 * len(noise)
+
+
+def test_quality_stage_drops_what_is_marked_bad(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, sf).select("doc_id").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    good, bad = ([k for k, q in labels.items() if q == want] for want in (1, 0))
+    assert sum(k in kept for k in good) >= 0.97 * len(good)
+    assert sum(k in kept for k in bad) <= 0.3 * len(bad)
+
+
 def test_entry_registers_every_operator():
     import __spark_entry__
 
