@@ -215,8 +215,11 @@ class Reader:
         return [1.0, math.log1p(total), math.log1p(count), total / 8, most / 4, rate / 4, math.log1p(total) * rate / 8, math.tanh(20 * count / max(1, words)), float(len(scores) >= 2), float(len(scores) >= 3)]
 
 
-def open_words(text: str) -> tuple[set[str], set[str]]:
-    """The words that no negation or reporting before them softens: those near a target in their clause, and the others."""
+def open_words(text: str, names: dict[str, str] | None = None) -> tuple[set[str], set[str]]:
+    """The words that no negation or reporting before them softens: those near a target in their clause, and the others.
+
+    With ``names``, texts share one string for each word.
+    """
     near, far = set(), set()
     soften = negation().then(reporting())
     for clause in _CLAUSE.split(text.lower()):
@@ -228,7 +231,7 @@ def open_words(text: str) -> tuple[set[str], set[str]]:
             symbol = NEGATION if word in NEGATIONS else REPORT if word in REPORTS else TARGET if word in TARGETS else INSULT
             state, out, _ = soften.step(state, symbol)
             if out == INSULT:
-                (near if any(abs(i - t) <= _NEAR for t in targets) else far).add(word)
+                (near if any(abs(i - t) <= _NEAR for t in targets) else far).add(word if names is None else names.setdefault(word, word))
     return near, far
 
 
@@ -245,15 +248,16 @@ def _once(texts: list[str]) -> list[int]:
     return kept
 
 
-def learn_lexicon(toxic: list[str], clean: list[str], least_documents: int = 4, least_ratio: float = 5.0, least_gain: float = 20.0, most_in_one: int = 4) -> Lexicon:
+def learn_lexicon(toxic: list[str], clean: list[str], opened: list[list] | None = None, least_documents: int = 4, least_ratio: float = 5.0, least_gain: float = 20.0, most_in_one: int = 4) -> Lexicon:
     """Stems and words that toxic texts have more often than clean ones, beyond chance.
 
     A form's rate is its number of different words in a text, ``most_in_one`` at most, over all texts of a side; its
     weight is the logarithm of the rates' ratio. Of nested forms with the same toxic texts only the longest counts, so
     a stem stands for several words; forms are chosen by what their rates gain in
-    likelihood, and of nested ones only one is.
+    likelihood, and of nested ones only one is. ``opened`` has the texts' ``open_words``, if they are known.
     """
-    found = [[open_words(side[i]) for i in _once(side)] for side in (toxic, clean)]
+    opened = opened or [list(map(open_words, side)) for side in (toxic, clean)]
+    found = [[words[i] for i in _once(side)] for side, words in zip((toxic, clean), opened)]
     sides = [[near | far for near, far in side] for side in found]
     sizes = [max(1, len(side)) for side in sides]
     forms = lambda word: [word[:n] for n in _STEMS if n <= len(word)] + [word + "$"]
@@ -338,7 +342,9 @@ def fit(toxic: list[str], clean: list[str], share: float, steps: int = 800, rate
         return FIXED
     # The clause model must see stems as they meet texts they were not learned from: two halves take turns.
     odd = lambda side, k: side[k::2]
-    halves = [learn_lexicon(odd(toxic, k), odd(clean, k)) for k in (0, 1)]
+    names: dict[str, str] = {}
+    opened = [[open_words(t, names) for t in side] for side in (toxic, clean)]
+    halves = [learn_lexicon(odd(toxic, k), odd(clean, k), [odd(side, k) for side in opened]) for k in (0, 1)]
     x, y = [], []
     for k in (0, 1):
         reader = Reader(halves[1 - k], grammar, kept)
@@ -353,7 +359,7 @@ def fit(toxic: list[str], clean: list[str], share: float, steps: int = 800, rate
         g = x.T @ (weight * (p - y)) + decay * w * (np.arange(len(w)) > 0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return ToxicModel(learn_lexicon(toxic, clean), w)
+    return ToxicModel(learn_lexicon(toxic, clean, opened), w)
 
 
 def train(documents: DataFrame, labels: DataFrame, most_toxic: int = 2500, most_clean: int = 6000, most_chars: int = 20_000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> ToxicModel:
