@@ -3,7 +3,8 @@
 A check sees the trimmed text and, where it needs them, the facts of its document: arrays ``known_entities``,
 ``allowed_<kind>``, ``people`` and ``companies`` (structs), ``defendants``, ``organisations``, ``charged_period`` and
 ``key_dates``. A missing column counts as empty. ``issues`` runs the enabled checks in the library's order and drops
-repeated issues; an empty text gives only its own issue.
+repeated issues; an empty text gives only its own issue. Word boundaries, white space and case in the patterns are those
+of ASCII, as Spark's regular expressions have them by default.
 """
 
 from __future__ import annotations
@@ -45,23 +46,27 @@ def _flag(failed: Column, issue: str) -> Column:
     return F.when(failed, F.array(F.lit(issue))).otherwise(_none())
 
 
-def _simple(name: str, failed: Callable[[Column], Column], issue: str) -> None:
-    RULES[name] = lambda c: _flag(failed(c("text")), issue)
+def _simple(name: str, failed: Callable[[Column], Column], issue: str, needs: str | None = None, source: str = "text") -> None:
+    """A rule of the text alone. ``needs`` is a part in lower case without which it can't fail, tested first."""
+    if needs is None:
+        RULES[name] = lambda c: _flag(failed(c(source)), issue)
+    else:
+        RULES[name] = lambda c: _flag(F.contains(c("low"), F.lit(needs)) & failed(c(source)), issue)
 
 
 _simple("empty_section", lambda t: t == "", "Section is empty.")
 _simple("placeholder_text", lambda t: t == "[section not generated]", "Section contains placeholder text.")
 _simple("hidden_reasoning_markup", lambda t: F.contains(F.lower(t), F.lit("<think>")), "Section still contains hidden reasoning markup.")
 _simple("placeholder_markers", lambda t: F.regexp_like(t, F.lit(r"\*{4,}")), "Section contains unresolved placeholder markers (****).")
-_simple("review_metadata", lambda t: F.regexp_like(t, F.lit(META_TOKEN)), "Section contains review/instruction metadata instead of prose.")
-_simple("meta_summary_style", lambda t: F.regexp_like(t, F.lit(META_OPENING)), "Section contains template/meta summary wording instead of legal prose.")
+_simple("review_metadata", lambda t: F.regexp_like(t, F.lit(META_TOKEN)), "Section contains review/instruction metadata instead of prose.", ":")
+_simple("meta_summary_style", lambda t: F.regexp_like(t, F.lit(META_OPENING)), "Section contains template/meta summary wording instead of legal prose.", "case_memory")
 _simple("markdown_formatting", lambda t: reduce(lambda a, b: a | b, (F.regexp_like(t, F.lit(p)) for p in MARKDOWN)), "Section contains markdown/list formatting; output must be plain prose.")
-_simple("incomplete_date_range", lambda t: F.regexp_like(t, F.lit(r"(?i)\bbetween\s+and\b")), "Section contains an incomplete date range ('between ... and ...').")
-_simple("dangling_between_phrase", lambda t: F.exists(F.regexp_extract_all(t, F.lit(DANGLING_BETWEEN), F.lit(0)), lambda m: ~(F.regexp_like(m, F.lit(r"(?i)\bbetween\b.+\band\b")) | F.contains(F.lower(m), F.lit("during the charged period")))), "Section contains a dangling 'between' phrase.")
+_simple("incomplete_date_range", lambda t: F.regexp_like(t, F.lit(r"(?i)\bbetween\s+and\b")), "Section contains an incomplete date range ('between ... and ...').", "between")
+_simple("dangling_between_phrase", lambda t: F.exists(F.regexp_extract_all(t, F.lit(DANGLING_BETWEEN), F.lit(0)), lambda m: ~(F.regexp_like(m, F.lit(r"(?i)\bbetween\b.+\band\b")) | F.contains(F.lower(m), F.lit("during the charged period")))), "Section contains a dangling 'between' phrase.", "between")
 _simple("unresolved_timeline_placeholder", lambda t: F.regexp_like(t, F.lit(BROKEN_TIMELINE)), "Section contains unresolved timeline placeholders.")
-_simple("partial_vat_identifier", lambda t: F.exists(F.regexp_extract_all(t, F.lit(VAT_LABEL), F.lit(1)), lambda v: ~F.regexp_like(F.upper(v), F.lit(f"^(?:{T.VAT})$"))), "Section contains a truncated VAT/reference identifier.")
-_simple("repeated_long_sentences", T.has_repeated_sentences, "Section contains repeated long sentences/paragraphs.")
-_simple("repeated_sentence_fragments", T.has_repeated_fragments, "Section contains repeated sentence fragments.")
+_simple("partial_vat_identifier", lambda t: F.exists(F.regexp_extract_all(t, F.lit(VAT_LABEL), F.lit(1)), lambda v: ~F.regexp_like(F.upper(v), F.lit(f"^(?:{T.VAT})$"))), "Section contains a truncated VAT/reference identifier.", "vat")
+_simple("repeated_long_sentences", T.repeated_sentences_among, "Section contains repeated long sentences/paragraphs.", source="sentences")
+_simple("repeated_sentence_fragments", T.repeated_fragments_among, "Section contains repeated sentence fragments.", source="sentences")
 _simple("truncated_sentence", lambda t: (F.length(t) > 120) & F.regexp_like(F.trim(t), F.lit(TRUNCATED_END)), "Section appears truncated or ends mid-sentence.")
 
 
@@ -103,11 +108,14 @@ def extracted(text: Column, pattern: str, normal: Callable[[Column], Column] = T
     return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), normal)))
 
 
-def _unknown(name: str, kind: str, pattern: str, issue: str, normal=T.normalize_phrase, known=None) -> None:
+def _unknown(name: str, kind: str, pattern: str, issue: str, normal=T.normalize_phrase, known=None, needs: tuple[str, ...] = ()) -> None:
     known = known or (lambda allowed, m: F.array_contains(allowed, m))
 
     def check(c):
-        strange = F.filter(extracted(c("text"), pattern, normal), lambda m: ~known(c(f"allowed_{kind}"), m))
+        found = extracted(c("text"), pattern, normal)
+        if needs:  # without one of these nothing matches, and the pattern isn't tried
+            found = F.when(reduce(lambda a, b: a | b, (F.contains(c("low"), F.lit(n)) for n in needs)), found).otherwise(_none())
+        strange = F.filter(found, lambda m: ~known(c(f"allowed_{kind}"), m))
         return F.transform(strange, lambda m: F.concat(F.lit(f"Section mentions unknown {issue} '"), m, F.lit("'.")))
 
     RULES[name] = check
@@ -115,9 +123,9 @@ def _unknown(name: str, kind: str, pattern: str, issue: str, normal=T.normalize_
 
 _unknown("unknown_case_references", "case_refs", T.CASE_REFERENCE, "case reference")
 _unknown("unknown_dates", "dates", T.DATE, "date")
-_unknown("unknown_amounts", "amounts", T.AMOUNT, "amount")
+_unknown("unknown_amounts", "amounts", T.AMOUNT, "amount", needs=("£", "€", "gbp", "eur"))
 _unknown("unknown_vat_numbers", "vats", T.VAT, "VAT/reference number")
-_unknown("unknown_organisations", "orgs", T.ORGANISATION, "organisation", known=lambda allowed, m: F.exists(allowed, lambda a: (a == m) | F.contains(F.lower(a), F.lower(m))))
+_unknown("unknown_organisations", "orgs", T.ORGANISATION, "organisation", known=lambda allowed, m: F.exists(allowed, lambda a: (a == m) | F.contains(F.lower(a), F.lower(m))), needs=("ltd", "limited"))
 _unknown("unknown_titled_people", "titled", T.TITLED_NAME, "titled person", T.normalize_title_phrase)
 _unknown("unknown_initials", "initials", T.INITIALS, "initials")
 
@@ -154,8 +162,8 @@ def issues(sections: DataFrame, enabled: dict[str, bool] | None = None, text_col
     trimmed = F.btrim(F.coalesce(F.col(text_column), F.lit("")), F.lit(" \t\n\r\x0b\x0c"))
 
     def column(name: str) -> Column:
-        if name == "text":
-            return F.col("_text")
+        if name in ("text", "low", "sentences"):
+            return F.col(f"_{name}")
         if name in _DEFAULTS:
             empty = F.array().cast(_DEFAULTS[name])
             return F.coalesce(F.col(name), empty) if name in present else empty
@@ -163,8 +171,9 @@ def issues(sections: DataFrame, enabled: dict[str, bool] | None = None, text_col
             return F.coalesce(F.col(name), F.lit(0)) if name in present else F.lit(0)
         return F.coalesce(F.col(name), F.lit("")) if name in present else F.lit("")
 
-    frame = sections.withColumn("_text", trimmed)
+    # made once, as several rules ask for them
+    frame = sections.withColumn("_text", trimmed).withColumns({"_low": F.lower("_text"), "_sentences": T.sentences(F.col("_text"))})
     first = RULES["empty_section"](column) if "empty_section" in wanted else _none()
     others = [RULES[n](column) for n in wanted if n != "empty_section"]
     rest = F.array_distinct(F.concat(*others)) if others else _none()
-    return frame.withColumn("issues", F.when(F.col("_text") == "", first).otherwise(rest)).drop("_text")
+    return frame.withColumn("issues", F.when(F.col("_text") == "", first).otherwise(rest)).drop("_text", "_low", "_sentences")

@@ -120,8 +120,10 @@ def verdict(score: Column) -> Column:
 
 
 def lenient_int(text: Column) -> Column:
-    """``1,234`` as a number; anything else 0."""
-    return F.coalesce(F.replace(F.trim(text), F.lit(","), F.lit("")).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """``1,234`` as a number, ``12.6`` rounded half to even; anything else 0."""
+    bare = F.replace(F.trim(text), F.lit(","), F.lit(""))
+    whole = F.regexp_like(bare, F.lit(r"^[+-]?\d+$"))
+    return F.coalesce(F.when(whole, bare.try_cast("bigint")).otherwise(F.bround(bare.try_cast("double")).try_cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def percent(value: Column) -> Column:
@@ -187,17 +189,31 @@ def sentences(text: Column) -> Column:
     return F.split(squeeze(text), SENTENCE_END)
 
 
+def _repeats(values: Column) -> Column:
+    """Whether an array has a value twice; the array is made once."""
+    return F.get(F.transform(F.array(values), lambda v: F.size(v) != F.size(F.array_distinct(v))), F.lit(0))
+
+
+def repeated_sentences_among(found: Column, least: int = 80) -> Column:
+    """Whether one of the sentences of at least ``least`` characters occurs twice, in any case."""
+    return _repeats(F.filter(F.transform(F.filter(found, lambda s: F.length(s) >= least), lambda s: F.lower(F.trim(s))), lambda s: F.length(s) >= least))
+
+
+def repeated_fragments_among(found: Column, tokens_least: int = 8, prefix: int = 10) -> Column:
+    """Whether two of the sentences of at least ``tokens_least`` words begin with the same ``prefix`` words."""
+    # a word has a letter and all but the last a character behind it: shorter sentences have too few
+    heads = F.transform(F.filter(found, lambda s: F.length(s) >= 2 * tokens_least - 1), lambda s: F.regexp_extract_all(F.lower(s), F.lit(PROSE_TOKEN), F.lit(0)))
+    return _repeats(F.transform(F.filter(heads, lambda t: F.size(t) >= tokens_least), lambda t: F.array_join(F.slice(t, 1, prefix), " ")))
+
+
 def has_repeated_sentences(text: Column, least: int = 80) -> Column:
     """Whether a sentence of at least ``least`` characters occurs twice, in any case."""
-    long = F.filter(F.transform(sentences(text), lambda s: F.lower(F.trim(s))), lambda s: F.length(s) >= least)
-    return F.size(long) != F.size(F.array_distinct(long))
+    return repeated_sentences_among(sentences(text), least)
 
 
 def has_repeated_fragments(text: Column, tokens_least: int = 8, prefix: int = 10) -> Column:
     """Whether two sentences of at least ``tokens_least`` words begin with the same ``prefix`` words."""
-    heads = F.transform(sentences(text), lambda s: F.regexp_extract_all(F.lower(s), F.lit(PROSE_TOKEN), F.lit(0)))
-    heads = F.transform(F.filter(heads, lambda t: F.size(t) >= tokens_least), lambda t: F.array_join(F.slice(t, 1, prefix), " "))
-    return F.size(heads) != F.size(F.array_distinct(heads))
+    return repeated_fragments_among(sentences(text), tokens_least, prefix)
 
 
 def markdown_block(text: Column, heading: str) -> Column:

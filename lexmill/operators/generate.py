@@ -26,6 +26,51 @@ def vat_number(prefix: Column, number: Column) -> Column:
     return F.concat(prefix, F.lpad(F.pmod(number, F.lit(10**9)).cast("string"), 9, "0"))
 
 
+#: Letters and digits of VAT numbers by country, as (kind, number) parts.
+_FRENCH, _SPANISH_FIRST, _SPANISH_LAST = "ABCDEFGHJKLMNPQRSTUVWXY", "ABCDEFGHJNPQRSUVW", "ABCDEFGHJKLMNPQRSTUVWXYZ"
+VAT_FORMATS = {"GB": (9,), "DE": (9,), "FR": (_FRENCH, 10), "ES": (_SPANISH_FIRST, 7, _SPANISH_LAST), "IT": (11,), "NL": (9, "B", 2), "BE": ("0", 9), "PL": (10,)}
+
+
+def vat_of_country(prefix: Column, number: Column) -> Column:
+    """VAT number in the format of its country, drawn from a number; nine digits for any other country."""
+    def made(parts: tuple) -> Column:
+        left, out = number, [prefix]
+        for part in parts:
+            if isinstance(part, int):
+                out.append(F.lpad(F.pmod(left, F.lit(10**part)).cast("string"), part, "0"))
+            else:
+                out.append(F.substring(F.lit(part), (F.pmod(left, F.lit(len(part))) + 1).cast("int"), F.lit(1)))
+                left = F.floor(left / len(part))
+        return F.concat(*out)
+
+    found = F.lit(None)
+    for country, parts in VAT_FORMATS.items():
+        found = F.when(prefix == country, made(parts)).otherwise(found)
+    return F.coalesce(found, made((9,)))
+
+
+def case_number(doc_type: Column, number: Column) -> Column:
+    year, n = (F.pmod(number, F.lit(3)) + 2024).cast("string"), F.pmod(number, F.lit(9900)) + 100
+    return F.when(doc_type == "indictment", F.concat(F.lit("CPS/"), year, F.lit("/"), F.lpad(n.cast("string"), 4, "0"))).otherwise(F.concat(F.lit("T"), year, F.lpad(n.cast("string"), 5, "0")))
+
+
+def cross_reference(number: Column) -> Column:
+    return F.concat(F.lit("C/"), (F.pmod(number, F.lit(3)) + 2024).cast("string"), F.lit("/"), (F.pmod(number, F.lit(9900)) + 100).cast("string"))
+
+
+def legal_reference(number: Column) -> Column:
+    return F.concat(F.lpad((F.pmod(number, F.lit(9_999_999)) + 1).cast("string"), 7, "0"), F.lit("/"), F.lpad((F.pmod(number, F.lit(999)) + 1).cast("string"), 3, "0"))
+
+
+def money_amount(number: Column, least: int = 25_000, most: int = 950_000) -> Column:
+    return F.concat(F.lit("£"), F.format_number(F.pmod(number, F.lit(most - least + 1)) + least, 0))
+
+
+def filing_date(number: Column, today: Column) -> Column:
+    """30 to 400 days before ``today``."""
+    return F.date_format(F.date_sub(today, (F.pmod(number, F.lit(371)) + 30).cast("int")), "d MMMM yyyy")
+
+
 def persons(spark: SparkSession, documents: int, per_document: int = 3, seed: int = 1) -> DataFrame:
     rows = spark.range(documents * per_document).select(F.floor(F.col("id") / per_document).alias("d"), (F.col("id") % per_document).alias("ord"))
     r = lambda k: _draw(seed + k, F.col("d"), F.col("ord"))

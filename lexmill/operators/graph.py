@@ -64,3 +64,16 @@ def render_document(sections: DataFrame, labels: dict[str, str]) -> DataFrame:
     title = F.coalesce(F.try_element_at(named, F.col("section")) if labels else F.lit(None), F.col("section"))
     parts = F.array_sort(F.collect_list(F.struct("ord", F.concat(title, F.lit("\n\n"), "text").alias("t"))))
     return sections.groupBy("doc_id").agg(F.array_join(F.transform(parts, lambda p: p["t"]), "\n\n").alias("text"))
+
+
+def normalise_schema(configured: DataFrame, persons: DataFrame, orgs: DataFrame) -> DataFrame:
+    """(doc_id, persons, orgs, edges): the configured lists, or where a document has none the derived nodes; no edges is an empty list."""
+    node = "array<struct<id:string,name:string,type:string>>"
+    derived = nodes(persons, orgs)
+    of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("type") == kind, F.struct(F.length("id").alias("l"), "id", "name", "type"))))
+    plain = lambda c: F.transform(c, lambda n: F.struct(n["id"].alias("id"), n["name"].alias("name"), n["type"].alias("type")))
+    own = derived.groupBy("doc_id").agg(plain(of("person")).alias("_p"), plain(of("organisation")).alias("_o"))
+    both = configured.join(own, "doc_id", "left")
+    empty = F.array().cast(node)
+    edges_kind = "array<struct<src:string,dst:string,type:string>>"
+    return both.select("doc_id", F.coalesce("persons", "_p", empty).alias("persons"), F.coalesce("orgs", "_o", empty).alias("orgs"), F.coalesce("edges", F.array().cast(edges_kind)).alias("edges"))

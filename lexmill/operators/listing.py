@@ -36,3 +36,25 @@ def evaluation_candidates(texts: DataFrame, groundtruth: DataFrame) -> DataFrame
 def inputs_record(expected: DataFrame, files: DataFrame) -> DataFrame:
     """Expected roles (role, required, path) with what exists of them."""
     return expected.join(files, "path", "left").withColumn("exists", F.col("sha256").isNotNull())
+
+
+def longest_values(values, most: int):
+    """The ``most`` longest of an array's values, normalised; of one length in the order of their text."""
+    known = F.array_distinct(F.filter(F.transform(values, T.normalize_phrase), lambda v: v != ""))
+    return F.slice(F.transform(F.array_sort(F.transform(known, lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v")))), lambda x: x["v"]), 1, most)
+
+
+def section_counts(artifacts: DataFrame) -> DataFrame:
+    """Number of different sections that a document has artifacts of."""
+    return artifacts.groupBy("doc_id").agg(F.count_distinct("section").alias("sections"))
+
+
+def group_counts(organisations: DataFrame) -> DataFrame:
+    """Charged and associated organisations of each document; a group that isn't ``associated`` counts as charged."""
+    associated = F.coalesce(F.lower(F.trim("grp")) == "associated", F.lit(False))
+    return organisations.groupBy("doc_id").agg(F.count_if(~associated).alias("charged"), F.count_if(associated).alias("associated"))
+
+
+def size_label(targets):
+    """Label of a map of section word targets."""
+    return F.concat(F.aggregate(F.map_values(targets), F.lit(0).cast("bigint"), lambda a, x: a + x).cast("string"), F.lit("w prose"))

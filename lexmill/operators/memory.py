@@ -56,6 +56,11 @@ def _names(block: Column) -> Column:
     return _present(F.transform(T.bullets(block), lambda x: T.normalize_phrase(F.substring_index(x, "|", 1))))
 
 
+def first_names(memory: Column, heading: str, most: int) -> Column:
+    """The first different names of the lines under a heading, ``none`` left out."""
+    return F.slice(_names(T.markdown_block(memory, heading)), 1, most)
+
+
 def facts(memory: DataFrame) -> DataFrame:
     """doc_id with the columns that the rule library reads, from (doc_id, memory_text)."""
     m = memory.select("doc_id", F.col("memory_text").alias("m"), seed_memory(F.col("memory_text")).alias("s"))

@@ -74,3 +74,17 @@ def health_line(ready: Column, score: Column, rubric: Column, milliseconds: Colu
     number = lambda c, form: F.coalesce(F.format_string(form, c.cast("double")), F.lit("n/a"))
     some = lambda c, form: F.when(c.isNotNull(), number(c, form)).otherwise(F.lit("n/a"))
     return F.concat(F.lit("| "), F.concat_ws(" | ", ready, some(score, "%.2f"), some(rubric, "%.2f"), F.coalesce(T.duration_text(milliseconds), F.lit("n/a"))), F.lit(" |"))
+
+
+def count_rows(cases: DataFrame, column: str = "counts") -> DataFrame:
+    """A row for each count of a case (an array of structs): its index from 1 and each field as text, JSON if nested."""
+    fields = cases.schema[column].dataType.elementType.fields
+    flat = cases.select("doc_id", F.posexplode(column).alias("i", "c"))
+    shown = lambda f: F.col(f"c.{f.name}") if f.dataType.simpleString() == "string" else F.to_json(F.col(f"c.{f.name}")) if f.dataType.typeName() in ("struct", "array", "map") else F.col(f"c.{f.name}").cast("string")
+    return flat.select("doc_id", (F.col("i") + 1).alias("index"), *[F.coalesce(shown(f), F.lit("")).alias(f.name) for f in fields])
+
+
+def split_people(people: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Defendants and collateral persons without their group; a group that isn't ``collateral`` is a defendant's."""
+    collateral = F.coalesce(F.col("grp") == "collateral", F.lit(False))
+    return people.where(~collateral).drop("grp"), people.where(collateral).drop("grp")

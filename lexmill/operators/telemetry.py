@@ -85,24 +85,28 @@ def rubric_overall(rubrics: DataFrame) -> DataFrame:
     return lowest
 
 
-def section_rubrics(rubrics: DataFrame) -> DataFrame:
-    """Latest revision of each section: rounded metric means, their mean, the revision and the number of scores."""
-    latest = latest_revision_set(rubrics, ("section_name",), "revision_round")
-    means = latest.groupBy("section_name", "metric").agg(F.round(F.avg("value"), 2).alias("average"), F.max("revision_round").alias("revision"), F.count("*").alias("n"))
-    return means.groupBy("section_name").agg(F.round(F.avg("average"), 2).alias("overall"), F.max("revision").alias("revision"), F.sum("n").alias("scores"))
+def section_rubrics(rubrics: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Latest revision of each section: rounded metric means, their mean, the revision and the number of scores.
+
+    ``by`` names what sections belong to, such as a document or a trace; without it all of the table's are one.
+    """
+    latest = latest_revision_set(rubrics, (*by, "section_name"), "revision_round")
+    means = latest.groupBy(*by, "section_name", "metric").agg(F.round(F.avg("value"), 2).alias("average"), F.max("revision_round").alias("revision"), F.count("*").alias("n"))
+    return means.groupBy(*by, "section_name").agg(F.round(F.avg("average"), 2).alias("overall"), F.max("revision").alias("revision"), F.sum("n").alias("scores"))
 
 
-def latest_observations(observations: DataFrame, stages: tuple[str, ...] = ("polisher", "writer"), ties: tuple[str, ...] = ()) -> DataFrame:
+def latest_observations(observations: DataFrame, stages: tuple[str, ...] = ("polisher", "writer"), ties: tuple[str, ...] = (), by: tuple[str, ...] = ()) -> DataFrame:
     """Latest revision of each section and stage, in chunk order; of the stages only the first that a section has.
 
-    Rows of one chunk stand in the order of their task and then of the columns ``ties``.
+    Rows of one chunk stand in the order of their task and then of the columns ``ties``. ``by`` names what sections
+    belong to, such as a trace; at scale it keeps a section's rows of all traces from meeting in one task.
     """
     rank = F.coalesce(*[F.when(F.col("stage") == s, F.lit(i)) for i, s in enumerate(stages)])
-    kept = latest_revision_set(observations.where(F.col("stage").isin(*stages)), ("section_name", "stage"), "revision_round").withColumn("_rank", rank)
-    best = F.min("_rank").over(Window.partitionBy("section_name"))
+    kept = latest_revision_set(observations.where(F.col("stage").isin(*stages)), (*by, "section_name", "stage"), "revision_round").withColumn("_rank", rank)
+    best = F.min("_rank").over(Window.partitionBy(*by, "section_name"))
     kept = kept.withColumn("_best", best).where("_rank = _best")
     chunk = F.coalesce(F.nullif(F.regexp_extract("task_id", r"_chunk_(\d+)$", 1), F.lit("")).cast("int"), F.lit(0))
-    order = Window.partitionBy("section_name").orderBy(chunk, "task_id", *ties)
+    order = Window.partitionBy(*by, "section_name").orderBy(chunk, "task_id", *ties)
     return kept.withColumn("ord", F.row_number().over(order)).drop("_rank", "_best")
 
 

@@ -5,6 +5,9 @@ A case document holds the orders of twenty neighbouring keys, so documents stay
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written_to(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the session names for driver and executors; on one machine alone a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="lexmill-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def surfaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, okey, n, ord, label, text: four surfaces of each order."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")

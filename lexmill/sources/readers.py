@@ -26,10 +26,10 @@ def predictions(spark: SparkSession, path: str, doc_id: str | None = None) -> Da
     """
     raw = spark.read.schema(PREDICTION).option("mode", "FAILFAST").json(path)
     doc = F.lit(doc_id) if doc_id else F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
-    rows = raw.select(doc.alias("doc_id"), F.monotonically_increasing_id().alias("_l"), F.posexplode("entities").alias("i", "e"))
+    rows = raw.select(doc.alias("doc_id"), F.explode("entities").alias("e")).withColumn("ord", F.monotonically_increasing_id())
     flat = rows.where(F.trim(F.col("e.entity_name")) != "")
     label = T.canonical_label(F.coalesce(F.nullif(F.col("e.label"), F.lit("")), F.col("e.entity_label"), F.lit("")))
-    return flat.select("doc_id", (F.col("_l") * F.lit(1 << 16) + F.col("i")).alias("ord"), F.trim("e.entity_name").alias("text"), label.alias("label"), F.coalesce("e.reason", F.lit("")).alias("reason"), F.col("e.abs_start_pos").alias("abs_start_pos"))
+    return flat.select("doc_id", "ord", F.trim("e.entity_name").alias("text"), label.alias("label"), F.coalesce("e.reason", F.lit("")).alias("reason"), F.col("e.abs_start_pos").alias("abs_start_pos"))
 
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:

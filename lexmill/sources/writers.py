@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def groundtruth(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Ground-truth TSV with CRLF line ends, a folder for each document; existing output is refused by default."""
-    rows.select("doc_id", F.col("doc_id").alias("_doc"), "entity_text", "label", "should_propose", "notes").write.partitionBy("_doc").csv(path, sep="\t", header=True, quote='"', escape='"', lineSep="\r\n", mode=mode)
+def groundtruth(rows: DataFrame, path: str, mode: str = "errorifexists", folders: int | None = 64) -> None:
+    """Ground-truth TSV with CRLF line ends; existing output is refused by default.
+
+    Documents share ``folders`` folders by a hash of their id; with None each has its own, for an export of few.
+    """
+    folder = F.pmod(F.xxhash64("doc_id"), F.lit(folders)).alias("_folder") if folders else F.col("doc_id").alias("_folder")
+    kept = rows.select("doc_id", folder, "entity_text", "label", "should_propose", "notes")
+    (kept.repartition("_folder") if folders else kept).write.partitionBy("_folder").csv(path, sep="\t", header=True, quote='"', escape='"', lineSep="\r\n", mode=mode)
 
 
 def metrics(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -53,11 +58,14 @@ def audit(files: DataFrame, path: str) -> None:
 
 
 def markdown_table(rows: DataFrame, columns: list[str], most: int = 1000) -> str:
-    """A Markdown table of a small report, at most ``most`` rows of it."""
+    """A Markdown table of a small report: its first ``most`` rows, and a last line that tells if there were more."""
     cell = lambda c: F.coalesce(F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("\\|")), F.lit("n/a"))
-    lines = rows.select(F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, columns)), F.lit(" |")).alias("line")).limit(most).collect()
+    lines = rows.select(F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, columns)), F.lit(" |")).alias("line")).limit(most + 1).collect()
+    lines = [r.line for r in lines]
+    if len(lines) > most:
+        lines[most:] = [f"| first {most} rows only |" + " |" * (len(columns) - 1)]
     head = ["| " + " | ".join(columns) + " |", "| " + " | ".join("---" for _ in columns) + " |"]
-    return "\n".join(head + [r.line for r in lines])
+    return "\n".join(head + lines)
 
 
 def evaluation_report(doc_id: str, metrics_of_doc: DataFrame, by_label: DataFrame) -> str:

@@ -27,6 +27,9 @@ def one(spark, column, **values):
         (T.clean_company_token, "Acme & Sons (7)", "ACME & SONS 7"),
         (T.lenient_int, " 1,234 ", 1234),
         (T.lenient_int, "x", 0),
+        (T.lenient_int, "12.6", 13),
+        (T.lenient_int, "2.5", 2),
+        (T.lenient_int, "9007199254740993", 9007199254740993),
         (T.section_of_task, "writer_facts_r2_chunk_1", "facts"),
         (T.section_of_task, "writer_witness_report", "witness"),
         (T.section_of_task, "planner_facts", None),

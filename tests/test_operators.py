@@ -159,11 +159,17 @@ def test_listing(spark):
 
 
 def test_model_output(spark):
-    raw = [json.dumps({"rubrics": {"Grounding": 2, "style": 5}, "issues": ["x"]}), json.dumps({"rubrics": {"overall": 4, "style": 9}, "issues": ["x"], "blocking": True}), json.dumps({"blocking": True, "issues": ["x"]}), json.dumps({"blocking": True, "issues": ["x"], "edits": [{"target": "t", "action": "replace"}], "approved": True}), "no json", None]
-    got = [(r.decision, r.approved, r.issues) for r in model_output.decide(spark.createDataFrame([(x,) for x in raw], "raw_text string")).collect()]
-    assert got == [("critical", False, ["x", "Critical rubric score: grounding = 2"]), ("accepted", True, []), ("blocked", False, ["x"]), ("own", True, ["x"]), ("own", True, []), ("own", True, [])]
-    frame = spark.createDataFrame([("- Legal tone: 4/5\n- grounding: 3\n- grounding: 5\nx: 9",)], "t string")
-    assert frame.select(model_output.rubrics_from_text(F.col("t"))).first()[0] == {"legal_tone": 4, "grounding": 3}
+    raw = [json.dumps({"rubrics": {"Grounding": 2, "style": 5}, "issues": ["x"]}), json.dumps({"rubrics": {"overall": 4, "style": 9}, "blocking": True}), json.dumps({"blocking": True}), json.dumps({"edits": [{"target": "t", "action": "replace"}, {"reason": " r ", "replacement": "z"}], "risk_level": "high"}), "no json", None, "{}"]
+    got = [(r.approved, r.issues, r.risk_level) for r in model_output.decide(spark.createDataFrame([(x,) for x in raw], "raw_text string")).collect()]
+    rejected = (False, [model_output.NO_ISSUES], "medium")
+    assert got == [(False, ["Critic rubric 'grounding' is blocking with score 2/5."], "low"), (True, [], "medium"), (False, [model_output.NO_EDITS], "medium"), (False, ["replace 't': Critic requested a specific edit.", "revise 'section': r"], "high"), rejected, rejected, (True, [], "low")]
+    legacy = ["Approved: YES\r\nRUBRICS:\n- tone: 2\nISSUES:\n- none\nREVISION: keep as is", "ISSUES:\n- a\n - b\nno\nREVISION:\n", "approved: yes\nRUBRICS:\n- grounding: 1\n- tone: 5/5", "RUBRICS:\n- a b-c: 4\n- tone: 3", "ISSUES: x\n{\"broken\": "]
+    got = [(r.approved, r.issues, r.revision_instruction, r.rubrics) for r in model_output.decide(spark.createDataFrame([(x,) for x in legacy], "raw_text string")).collect()]
+    assert got == [(True, [], "keep as is", {"tone": 2}), (False, ["a", "- b"], model_output.FLAGGED, {}), (False, ["Critic rubric 'grounding' is blocking with score 1/5."], "keep as is", {"grounding": 1, "tone": 5}), (True, [], "keep as is", {"a_b_c": 4, "tone": 3}), (False, [model_output.NO_ISSUES], model_output.CONSISTENT, {})]
+    asked = model_output.decide(spark.createDataFrame([(raw[3],)], "raw_text string")).first().revision_instruction
+    assert asked == "Apply these specific critic edits:\n1. Target: t; action: replace; reason: Critic requested a specific edit.\n2. Target: section; action: revise; reason: r\n   Replacement: z"
+    frame = spark.createDataFrame([("- Legal tone: 4/5\n- grounding: 3\n- grounding: 5\n* style: 2\nx: 9",)], "t string")
+    assert frame.select(model_output.rubrics_from_text(F.col("t"))).first()[0] == {"legal_tone": 4, "grounding": 5}
     packets = spark.createDataFrame([('{"content": "a", "summary": "b"}',), ("plain <think>x</think>text",)], "t string")
     assert [tuple(r[0]) for r in packets.select(model_output.parse_packet(F.col("t"))).collect()] == [("a", "b"), ("plain text", "")]
 
