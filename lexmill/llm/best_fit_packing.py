@@ -47,7 +47,7 @@ class ChunkTokenizer:
     A vocabulary file with another normalizer, pre-tokenizer or model is left to the library as it is.
     """
 
-    def __init__(self, path: str, most_kept: int = 150_000):
+    def __init__(self, path: str, most_kept: int = 100_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -172,12 +172,12 @@ class OpenBins:
         return number, self.capacity - space
 
 
-def pack(documents: DataFrame, vocabulary: str, capacity: int = 2048, terminator: int = 0, open_bins: int = 512, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False) -> DataFrame:
+def pack(documents: DataFrame, vocabulary: str, capacity: int = 2048, terminator: int = 0, open_bins: int = 512, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False, block: int = 1024) -> DataFrame:
     """Pieces of ``documents`` with their place in a sequence of at most ``capacity`` tokens.
 
     Columns: the id, piece (from 0), start (the document's tokens before the piece), length, ids_crc32, sequence_id,
     offset; with ``with_ids`` also ids, the piece's tokens. A document with its terminator stays whole unless it is
-    longer than ``capacity``. Within an Arrow batch longer pieces are placed first.
+    longer than ``capacity``. Within ``block`` documents longer pieces are placed first.
     """
     kind = documents.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -192,21 +192,23 @@ def pack(documents: DataFrame, vocabulary: str, capacity: int = 2048, terminator
         encode, bins = tokenizer(vocabulary).encode, OpenBins(capacity, open_bins)
         first = TaskContext.get().partitionId() << 33
         arrow = to_arrow_schema(schema)
-        for batch in batches:
-            ids, edges = encode(batch.column(1).to_pylist(), end)
-            pieces = -(-np.diff(edges) // capacity)
-            owner = np.repeat(np.arange(len(pieces)), pieces)
-            piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            begin = edges[owner] + piece * capacity
-            length = np.minimum(begin + capacity, edges[owner + 1]) - begin
-            crc = [zlib.crc32(ids[a : a + n]) for a, n in zip(begin.tolist(), length.tolist())]
-            where, offset = [0] * len(owner), [0] * len(owner)
-            for i in np.argsort(-length, kind="stable").tolist():
-                number, offset[i] = bins.place(int(length[i]))
-                where[i] = first + number
-            columns = [batch.column(0).take(pa.array(owner, pa.int64())), piece, piece * capacity, length, crc, where, offset]
-            if with_ids:
-                columns.append([ids[a : a + n] for a, n in zip(begin.tolist(), length.tolist())])
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        for whole in batches:
+            for at in range(0, whole.num_rows, block):
+                batch = whole.slice(at, block)
+                ids, edges = encode(batch.column(1).to_pylist(), end)
+                pieces = -(-np.diff(edges) // capacity)
+                owner = np.repeat(np.arange(len(pieces)), pieces)
+                piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                begin = edges[owner] + piece * capacity
+                length = np.minimum(begin + capacity, edges[owner + 1]) - begin
+                crc = [zlib.crc32(ids[a : a + n]) for a, n in zip(begin.tolist(), length.tolist())]
+                where, offset = [0] * len(owner), [0] * len(owner)
+                for i in np.argsort(-length, kind="stable").tolist():
+                    number, offset[i] = bins.place(int(length[i]))
+                    where[i] = first + number
+                columns = [batch.column(0).take(pa.array(owner, pa.int64())), piece, piece * capacity, length, crc, where, offset]
+                if with_ids:
+                    columns.append([ids[a : a + n] for a, n in zip(begin.tolist(), length.tolist())])
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     return documents.select(F.col(id_column), F.col(text_column)).mapInArrow(worker("packing", run), schema)
