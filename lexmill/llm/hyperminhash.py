@@ -9,7 +9,9 @@ that two sets agree on a register with the probability of their Jaccard similari
    row, not by an id, so that rows of one id may have different texts.
 2. Classes that agree on all registers of a band meet there. Each is paired with the band's first class only.
 3. A pair whose Jaccard estimate, corrected for chance collisions of registers, lies within five standard errors of
-   the threshold is verified on the full sets. Verified links are joined to components.
+   the threshold is verified on the full sets. Verified links are joined to components. In bands that still hold
+   several, the classes of other components are paired with a class that each band draws by chance, in turns, until
+   fewer than one of 200 pairs of a turn are links.
 4. What is left are pairs of different components in bands of three and more. They are found exactly, whatever the size
    of the band: two sets of the similarity share one of their rarest shingles (as many as they may miss, and one more).
    Classes of one component are never compared, and a pair is looked at where it shares its rarest shingle, if what can
@@ -174,11 +176,12 @@ class _Pairs:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Likely pairs whose full sets have 100 * intersection >= ``threshold`` * union, written."""
         likely = self.scratch.keep(self.likely(pairs))
-        sets = self.sets_of(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        nodes = self.scratch.keep(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())  # counted and joined
+        sets = self.sets_of(nodes)
         joined = likely.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
         shared = F.size(F.array_intersect("sa", "sb"))
         links = self.scratch.keep(joined.where((100 + self.threshold) * shared >= self.threshold * (F.size("sa") + F.size("sb"))).select("a", "b"))
-        self.scratch.drop(likely)
+        self.scratch.drop(likely, nodes)
         return links
 
     def across(self, labelled: DataFrame, most_alone: int) -> DataFrame:
@@ -211,6 +214,29 @@ class _Pairs:
         return pairs
 
 
+def _mixed(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(band, node, component) of the bands that hold several components."""
+    labelled = scratch.keep(members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")))
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("band")
+    kept = scratch.keep(labelled.join(mixed, "band"))
+    scratch.drop(labelled)
+    return kept
+
+
+def _merged(found: DataFrame, labelled: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``found`` with the components joined that ``links`` connects."""
+    if not links.take(1):
+        return found
+    of = labelled.select("node", "component").distinct()
+    side = lambda s: of.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
+    joined = components(links.join(side("a"), "a").join(side("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), scratch)
+    every = found.unionByName(joined.select("node", F.col("node").alias("component"))).distinct()
+    moved = every.join(joined.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    moved = scratch.keep(moved.select("node", F.coalesce("to", "component").alias("component")))
+    scratch.drop(found, joined, links)
+    return moved
+
+
 def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, rows: int = 5, bands: int = 50, id_column: str = "doc_id", text_column: str = "text", most_broadcast: int = 1_000_000, most_alone: int = 1000) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row. ``threshold`` is the Jaccard similarity in hundredths."""
     small_batches(documents.sparkSession)
@@ -232,21 +258,25 @@ def near_duplicates(documents: DataFrame, threshold: int = 75, size: int = 5, ro
     scratch.drop(links)
 
     # bands of three and more with several components; a pair of two has been looked at
-    labelled = shared.where("members > 2").select("band", "node").join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    labelled = scratch.keep(labelled)
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("band")
-    rest = scratch.keep(labelled.join(mixed, "band").select("node", "component").distinct())
-    scratch.drop(shared, labelled)
-    if rest.take(1):
-        candidates = pairs.across(rest, most_alone)
-        more = pairs.verified(candidates)
-        if more.take(1):
-            side = lambda s: rest.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
-            joined = components(more.join(side("a"), "a").join(side("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), scratch)
-            every = found.unionByName(joined.select("node", F.col("node").alias("component"))).distinct()
-            moved = every.join(joined.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
-            found = scratch.keep(moved.select("node", F.coalesce("to", "component").alias("component")))
-        scratch.drop(candidates, more)
+    crowded = scratch.keep(shared.where("members > 2").select("band", "node"))
+    scratch.drop(shared)
+    labelled = _mixed(crowded, found, scratch)
+    # other classes of each band, by chance, for those that are not like the first one, while that links many of them
+    turn = 0
+    while labelled.take(1):
+        turn += 1
+        centres = labelled.groupBy("band").agg(F.max_by(F.struct("node", "component"), F.xxhash64(F.lit(turn), "band", "node")).alias("centre"))
+        stars = labelled.join(centres, "band").where("component <> centre.component").select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
+        stars = scratch.keep(stars.distinct())
+        links = pairs.verified(stars)
+        few = 200 * links.count() < stars.count()
+        found = _merged(found, labelled, links, scratch)
+        scratch.drop(labelled, stars)
+        labelled = _mixed(crowded, found, scratch)
+        if few:
+            break
+    rest = scratch.keep(labelled.select("node", "component").distinct())
+    found = _merged(found, rest, pairs.verified(pairs.across(rest, most_alone)), scratch)
 
     ids = classes.select("node", "set_hash", "smallest").join(found, "node", "left").select("set_hash", "smallest", F.coalesce("component", "node").alias("component"))
     names = ids.groupBy("component").agg(F.min("smallest").alias("c"))
